@@ -116,7 +116,7 @@ QUERIES: dict[str, tuple[str, str]] = {
         SELECT id, max(z) AS z FROM (SELECT p.id, z.z, floor((p.lon + 180) / 180e0 * power(2, z.z)) AS x0, floor((p.lon + 180.4e0) / 180e0 * power(2, z.z)) AS x1, floor((90 - p.lat) / 180e0 * power(2, z.z)) AS y0, floor((90.3e0 - p.lat) / 180e0 * power(2, z.z)) AS y1
           FROM place p, (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9), (10)) AS z(z)) AS t WHERE x0 = x1 AND y0 = y1 GROUP BY id"""),
     "utm_zone": ("P10: projection zone and hemisphere of a point", "SELECT id, CAST(floor((lon + 180) / 6) AS INT) + 1 AS zone, CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + CAST(floor((lon + 180) / 6) AS INT) + 1 AS epsg FROM place"),
-    "web_mercator": ("P10: forward spherical Mercator", "SELECT id, round(6378137e0 * radians(lon), 4) AS x, round(6378137e0 * ln(tan(pi() / 4 + radians(lat) / 2)), 4) AS y FROM place"),
+    "web_mercator": ("P10: forward spherical Mercator", "SELECT id, round(6378137e0 * radians(lon), 4) AS x, round(6378137e0 * ln(tan(pi() / 4 + radians(lat) / 2)), 4) + 0e0 AS y FROM place"),
     "aoi_membership": ("J8: detections in areas, by grid cell and exact test", "SELECT slick, aoi, type FROM slick_to_aoi"),
     "haversine_band_anti": ("J7 S3 F17: detections without a fixed structure within 100 m, by neighbouring grid cells", f"""
         SELECT a.id, a.length_m FROM ({_DETECTIONS}) AS a LEFT ANTI JOIN (
