@@ -29,6 +29,11 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merged(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join of two sides that both grow with the input: sorted and merged at every size, never broadcast."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches that Python workers hold, whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
@@ -70,9 +75,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = now.select(F.col("v").alias("u"), F.col("m").alias("w")).union(now.select("m", "v"))
         low = both.groupBy("u").agg(F.least(F.min("w"), F.col("u")).alias("low"))
-        large = both.where("w >= u").join(low, "u").select(F.col("w").alias("v"), F.col("low").alias("m")).union(low.select("u", "low")).where("v != m").distinct()
+        large = merged(both.where("w >= u"), low, "u").select(F.col("w").alias("v"), F.col("low").alias("m")).union(low.select("u", "low")).where("v != m").distinct()
         low = large.groupBy("v").agg(F.min("m").alias("low"))
-        small = large.join(low, "v").select(F.col("m").alias("v"), F.col("low").alias("m")).union(low.select("v", "low")).where("v != m").distinct()
+        small = merged(large, low, "v").select(F.col("m").alias("v"), F.col("low").alias("m")).union(low.select("v", "low")).where("v != m").distinct()
         now = saved(small)
         is_star = now.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
         if tuple(is_star) == mark:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import bytehash as bh
-from tidewatch.llm.common import components, pieces, saved, small_batches, text_bytes
+from tidewatch.llm.common import components, merged, pieces, saved, small_batches, text_bytes
 
 COORDS = 64
 U = np.uint64
@@ -31,7 +31,7 @@ def _signatures(k: int):
     def run(batches):
         for b in batches:
             off, data = text_bytes(b.column(1))
-            n, digest, sig = [], [], []
+            n, digest, sig, sketch = [], [], [], []
             for i, j in pieces(off):
                 sets = bh.shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], k)
                 sizes = np.array([len(s) for s in sets])
@@ -47,7 +47,8 @@ def _signatures(k: int):
                 n += sizes.tolist()
                 digest += [x.tobytes() for x in d]
                 sig += [x.tobytes() for x in low]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "digest", "sig"])
+                sketch += [x.tobytes() for x in low.astype(np.uint8)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()), pa.array(sketch, pa.binary())], names=["doc_id", "n_shingles", "digest", "sig", "sketch"])
 
     return run
 
@@ -92,37 +93,63 @@ def _deeper(batches):
 
 
 def _compare(forest: bool):
-    """Pairs of a node whose sketches agree often enough: to each set its best smaller partner, or all pairs of two groups."""
+    """Of each node the sets that have a partner with a sketch that agrees often enough: (node, doc, partners, last).
+
+    partners are smaller documents of other groups: the best one only, or all of them. A pair that several nodes
+    hold is left to the smallest of them: p1 and p2 list the nodes where a set stands on either side of the comparison.
+    last is the largest document that has this one for a partner.
+    """
 
     def run(batches):
         for b in batches:
-            a, c = [], []
-            for members in b.column("members").to_pylist():
-                doc = np.array([m["doc"] for m in members])
-                comp = np.array([m["comp"] for m in members])
-                other = np.array([m["other"] for m in members])
-                order = np.argsort(doc, kind="stable")
-                doc, comp, other = doc[order], comp[order], other[order]
-                s = _sig_array(pa.array([members[i]["sig"] for i in order], pa.binary())).astype(np.uint8)
-                agree = np.zeros((len(doc), len(doc)), np.int16)
-                for i in range(1, len(doc)):
+            node, docs, partners, last = [], [], [], []
+            for name, members in zip(b.column("node").to_pylist(), b.column("members").to_pylist(), strict=True):
+                members.sort(key=lambda m: m["doc"])
+                doc, comp, other, own = (np.array([m[x] for m in members]) for x in ("doc", "comp", "other", "own"))
+                s = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint8).reshape(-1, COORDS)
+                n = len(doc)
+                agree = np.zeros((n, n), np.int16)
+                for i in range(1, n):
                     agree[i, :i] = (s[:i] == s[i]).sum(1)
                 agree[comp[:, None] == comp[None, :]] = 0
                 if other.any():
                     agree[other[:, None] == other[None, :]] = 0
+                agree[agree < LEAST_AGREEING] = 0
+                if not agree.any():
+                    continue
                 if forest:
                     best = agree.argmax(1)
-                    i = np.flatnonzero(agree[np.arange(len(doc)), best] >= LEAST_AGREEING)
+                    i = np.flatnonzero(agree[np.arange(n), best])
                     j = best[i]
                 else:
-                    i, j = np.nonzero(agree >= LEAST_AGREEING)
-                a += doc[j].tolist()
-                c += doc[i].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
+                    agree[_met_before(members, own[0])] = 0
+                    i, j = np.nonzero(agree)
+                pairs = np.unique(np.stack([doc[i], doc[j]], 1), axis=0)
+                for d in np.unique(pairs):
+                    later = pairs[pairs[:, 1] == d, 0]
+                    node.append(name)
+                    docs.append(int(d))
+                    partners.append(pairs[pairs[:, 0] == d, 1].tolist())
+                    last.append(int(later.max()) if len(later) else None)
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(docs, pa.int64()), pa.array(partners, pa.list_(pa.int64())), pa.array(last, pa.int64())], names=["node", "doc", "partners", "last"])
 
     return run
 
 
+def _met_before(members: list[dict], own: int) -> np.ndarray:
+    """Whether two members stand on opposite sides of a comparison with a smaller name than own."""
+    sides = []
+    names = np.unique(np.array([x for m in members for side in ("p1", "p2") for x in m[side] if x < own], np.int64))
+    for side in ("p1", "p2"):
+        at = np.zeros((len(members), len(names)), np.float32)
+        for i, m in enumerate(members):
+            mine = np.array([x for x in m[side] if x < own], np.int64)
+            at[i, np.searchsorted(names, mine)] = 1
+        sides.append(at)
+    met = sides[0] @ sides[1].T > 0
+    return met | met.T
+
+
 def packed(batches):
     """(doc_id, text) with the text compressed, for the shuffles that carry whole texts."""
     z = zstandard.ZstdCompressor(level=1)
@@ -136,48 +163,62 @@ def unpacked(column) -> pa.Array:
 
 
 def _confirm(k: int, percent: int):
-    """Rows sorted by key, heads first: emits the pairs (head, tail) whose full sets are similar enough."""
+    """Rows sorted by node and doc: emits the pairs of a document and a partner whose full sets are similar enough.
+
+    A set is held only until its last partner has come.
+    """
 
     def run(batches):
-        key, heads = None, []
+        node, held = None, {}
         for b in batches:
             off, data = text_bytes(unpacked(b.column("z")))
-            sets = [s for i, j in pieces(off) for s in bh.shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], k)]
             a, c = [], []
-            for s, doc, x, chunk, tail in zip(sets, *(b.column(n).to_pylist() for n in ("doc_id", "a", "chunk", "tail")), strict=True):
-                if (x, chunk) != key:
-                    key, heads = (x, chunk), []
-                if not tail:
-                    heads.append(s)
-                    continue
-                for h in heads:
-                    small, large = sorted((len(h), len(s)))
-                    if 100 * small >= percent * large > 0:
-                        both = len(np.intersect1d(h, s, assume_unique=True))
-                        if 100 * both >= percent * (small + large - both):
-                            a.append(x)
-                            c.append(doc)
+            columns = zip(*(b.column(n).to_pylist() for n in ("node", "doc", "partners", "last")), strict=True)
+            for i, j in pieces(off):
+                for s in bh.shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], k):
+                    name, doc, partners, last = next(columns)
+                    if name != node:
+                        node, held = name, {}
+                    for x in [x for x, (until, _) in held.items() if until < doc]:
+                        del held[x]
+                    for x in partners:
+                        for h in held[x][1] if x in held else ():
+                            small, large = sorted((h, s), key=len)
+                            if 100 * len(small) >= percent * len(large) > 0:
+                                both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+                                if 100 * both >= percent * (len(small) + len(large) - both):
+                                    a.append(x)
+                                    c.append(doc)
+                    if last is not None:
+                        held.setdefault(doc, (last, []))[1].append(s)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int, most: int = 64) -> DataFrame:
-    """The pairs (a, b) that are similar on their full sets. A document with many partners is compared in chunks of them."""
-    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / most).alias("chunks"))
-    keyed = pairs.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"), "b")
-    sides = keyed.select(F.col("b").alias("doc_id"), "a", "chunk", F.lit(True).alias("tail")).union(keyed.select("a", "a", "chunk", F.lit(False)).distinct())
-    rows = docs.mapInArrow(packed, "doc_id long, z binary").join(sides, "doc_id")
-    rows = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "tail")
-    return rows.mapInArrow(_confirm(k, percent), "a long, b long")
+def _links(nodes: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, forest: bool) -> DataFrame:
+    """The links of nodes (node, own, doc, other), found on sketches and confirmed on full sets.
+
+    A document's text goes once to each node where it has a partner, however many partners there are.
+    """
+    full = merged(nodes, reps.select("doc", "comp", "sketch"), "doc")
+    if forest:
+        none = F.array().cast("array<long>")
+        full = full.withColumn("p1", none).withColumn("p2", none)
+    else:
+        sides = nodes.select("doc", "own", "other").distinct().groupBy("doc")
+        sides = sides.agg(*(F.collect_set(F.when(F.col("other") != out, F.col("own"))).alias(side) for side, out in (("p1", 2), ("p2", 1))))
+        full = merged(full, sides, "doc")
+    full = full.groupBy("node").agg(F.collect_list(F.struct("doc", "comp", "other", "own", "sketch", "p1", "p2")).alias("members"))
+    found = full.mapInArrow(_compare(forest), "node long, doc long, partners array<long>, last long")
+    rows = merged(found, texts.withColumnRenamed("doc_id", "doc"), "doc").repartition("node").sortWithinPartitions("node", "doc")
+    return rows.mapInArrow(_confirm(k, percent), "a long, b long").distinct()
 
 
-def _candidates(nodes: DataFrame, reps: DataFrame, forest: bool) -> DataFrame:
-    """nodes (path, block, doc, other): the distinct pairs of each small node that pass on sketches."""
-    sets = nodes.groupBy("path", "block").agg(F.sort_array(F.collect_set(F.struct("doc", "other"))).alias("m")).where("size(m) > 1")
-    rows = sets.select("m").distinct().select(F.xxhash64("m").alias("node"), F.size("m").alias("size"), F.explode("m").alias("x")).select("node", "size", "x.*")
-    full = rows.join(reps, "doc").groupBy("node", "size").agg(F.collect_list(F.struct("doc", "comp", "other", "sig")).alias("members"))
-    return full.mapInArrow(_compare(forest), "a long, b long").distinct()
+def _small(small: DataFrame) -> DataFrame:
+    """Small nodes (path, doc) for _links; nodes of the same sets are one."""
+    sets = small.groupBy("path").agg(F.sort_array(F.collect_set("doc")).alias("m")).where("size(m) > 1").select("m").distinct()
+    return sets.select(F.xxhash64("m").alias("node"), F.explode("m").alias("doc")).select("node", F.col("node").alias("own"), "doc", F.lit(0).alias("other"))
 
 
 def _nodes(reps: DataFrame, trees: range, leaf: int) -> tuple[DataFrame, DataFrame | None]:
@@ -185,7 +226,7 @@ def _nodes(reps: DataFrame, trees: range, leaf: int) -> tuple[DataFrame, DataFra
     rows, small, left = reps.mapInArrow(_roots(trees), "path long, doc long, comp long"), None, None
     for level in range(1, LEVELS + 1):
         size = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("n > 1 and lo < hi").select("path", "n")
-        alive = saved(rows.join(size, "path"))
+        alive = saved(merged(rows, size, "path"))
         part = alive.where(F.col("n") <= leaf).select("path", "doc")
         small = part if small is None else small.union(part)
         large = alive.where(F.col("n") > leaf)
@@ -194,12 +235,13 @@ def _nodes(reps: DataFrame, trees: range, leaf: int) -> tuple[DataFrame, DataFra
         if level == LEVELS:
             left = large.select("path", "doc", "n")
         else:
-            rows = large.select("path", "doc").join(reps, "doc").select("path", "doc", "comp", "sig").mapInArrow(_deeper, "path long, doc long, comp long")
+            rows = merged(large.select("path", "doc"), reps, "doc").select("path", "doc", "comp", "sig").mapInArrow(_deeper, "path long, doc long, comp long")
     return small, left
 
 
 def _blocks(left: DataFrame, leaf: int, seed: int) -> DataFrame:
-    return left.select("path", F.pmod(F.xxhash64("path", "doc", F.lit(seed)), F.ceil(F.col("n") * 1.5 / leaf)).alias("block"), "doc", F.lit(0).alias("other"))
+    block = F.pmod(F.xxhash64("path", "doc", F.lit(seed)), F.ceil(F.col("n") * 1.5 / leaf))
+    return left.select(F.xxhash64("path", block).alias("node"), F.col("path").alias("own"), "doc", F.lit(0).alias("other"))
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, leaf: int = 64) -> DataFrame:
@@ -217,30 +259,32 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     spark = documents.sparkSession
     small_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long"), "text")
-    signed = saved(docs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, digest binary, sig binary"))
+    signed = saved(docs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, digest binary, sig binary, sketch binary"))
     found = signed.where("doc_id is not null and n_shingles > 0")
-    classes = saved(found.groupBy("digest", "n_shingles").agg(F.min(F.struct("doc_id", "sig")).alias("x")).select("digest", "n_shingles", F.col("x.doc_id").alias("doc"), F.col("x.sig").alias("sig")))
-    reps = classes.select("doc", F.col("doc").alias("comp"), "sig")
-    alone = found.select("doc_id", "digest", "n_shingles").join(classes.drop("sig"), ["digest", "n_shingles"]).where("doc_id != doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
+    classes = saved(found.groupBy("digest", "n_shingles").agg(F.min(F.struct("doc_id", "sig", "sketch")).alias("x")).select("digest", "n_shingles", F.col("x.doc_id").alias("doc"), "x.sig", "x.sketch"))
+    reps = classes.select("doc", F.col("doc").alias("comp"), "sig", "sketch")
+    alone = merged(found.select("doc_id", "digest", "n_shingles"), classes.select("digest", "n_shingles", "doc"), ["digest", "n_shingles"])
+    alone = alone.where("doc_id != doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
+    texts = docs.mapInArrow(packed, "doc_id long, z binary")
 
     small, left = _nodes(reps, range(2), leaf)
-    nodes = small.withColumn("block", F.lit(0).cast("long")).withColumn("other", F.lit(0))
+    nodes = _small(small)
     if left is not None:
         nodes = nodes.union(_blocks(left, leaf, 0))
-    links = saved(_confirmed(saved(_candidates(nodes, reps, True)), docs, k, percent))
+    links = saved(_links(nodes, reps, texts, k, percent, True))
     groups = saved(components(links))
 
     def grouped() -> DataFrame:
-        return classes.select("doc", "sig").join(groups.withColumnRenamed("id", "doc"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("comp"), "sig")
+        rows = merged(classes.select("doc", "sig", "sketch"), groups.withColumnRenamed("id", "doc"), "doc", "left")
+        return rows.select("doc", F.coalesce("component", "doc").alias("comp"), "sig", "sketch")
 
+    if left is not None:
+        large = saved(merged(texts, left.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     for turn in range(1, 7 if left is not None else 1):
         reps = grouped()
-        one = left.join(reps.drop("sig"), "doc").groupBy("path", "comp").agg(F.min("doc").alias("doc"))
-        one = saved(one.join(one.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "path"))
-        pairs = saved(_candidates(_blocks(one, leaf, turn), reps, True))
-        if pairs.isEmpty():
-            break
-        more = saved(_confirmed(pairs, docs, k, percent))
+        one = merged(left, reps.select("doc", "comp"), "doc").groupBy("path", "comp").agg(F.min("doc").alias("doc"))
+        one = saved(merged(one, one.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "path"))
+        more = saved(_links(_blocks(one, leaf, turn), reps, large, k, percent, True))
         if more.isEmpty():
             break
         links = links.union(more)
@@ -248,35 +292,37 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
 
     reps = saved(grouped())
     small, left = _nodes(reps, range(2, 2 + trees), leaf)
-    pairs = saved(_candidates(small.withColumn("block", F.lit(0).cast("long")).withColumn("other", F.lit(0)), reps, False))
+    nodes = _small(small)
     if left is not None:
-        pairs = pairs.union(saved(_candidates(_against_rest(left, reps, leaf), reps, False)))
-    if not pairs.isEmpty():
-        links = links.union(saved(_confirmed(pairs.distinct(), docs, k, percent)))
+        nodes = nodes.union(_against_rest(left, reps, leaf))
+    more = saved(_links(saved(nodes), reps, texts, k, percent, False))
+    if not more.isEmpty():
+        links = links.union(more)
         groups = saved(components(links))
 
-    rep = found.select("doc_id", "digest", "n_shingles").join(classes.drop("sig"), ["digest", "n_shingles"]).join(groups.withColumnRenamed("id", "doc"), "doc", "left")
+    rep = merged(found.select("doc_id", "digest", "n_shingles"), classes.select("digest", "n_shingles", "doc"), ["digest", "n_shingles"])
+    rep = merged(rep, groups.withColumnRenamed("id", "doc"), "doc", "left")
     ids = rep.select("doc_id", F.coalesce("component", "doc").alias("component"))
     twice = ids.groupBy("doc_id").agg(F.count_distinct("component").alias("n"), F.min("component").alias("component")).where("n > 1")
     if not twice.isEmpty():  # ids that stand for several texts join the groups of all of them
         groups = components(links.union(alone))
-        ids = found.select("doc_id").distinct().join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
+        ids = merged(found.select("doc_id").distinct(), groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
     else:
         ids = ids.distinct()
-    out = signed.select("doc_id", "n_shingles").join(ids, "doc_id", "left")
+    out = merged(signed.select("doc_id", "n_shingles"), ids, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def _against_rest(left: DataFrame, reps: DataFrame, leaf: int) -> DataFrame:
     """Of large nodes, all sets outside the largest group (other 1, in chunks) beside every block of all its sets (other 2)."""
-    rows = left.join(reps.select("doc", "comp"), "doc")
+    rows = merged(left, reps.select("doc", "comp"), "doc")
     size = rows.groupBy("path", "comp").agg(F.count("*").alias("c")).groupBy("path").agg(F.max(F.struct("c", "comp")).alias("x"), F.sum("c").alias("n"))
     size = size.select("path", F.col("x.comp").alias("giant"), F.ceil(F.col("n") * 1.5 / leaf).alias("blocks"), F.ceil((F.col("n") - F.col("x.c")) * 1.5 / leaf).alias("chunks"))
-    rows = rows.join(size, "path").where("chunks > 0")
+    rows = merged(rows, size, "path").where("chunks > 0")
     block, chunk = F.pmod(F.xxhash64("doc", "path"), "blocks"), F.pmod(F.xxhash64("path", "doc"), "chunks")
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     rest = rows.where("comp != giant").select("path", "blocks", chunk.alias("chunk"), "doc").select("path", each("blocks").alias("blk"), "chunk", "doc", F.lit(1).alias("other"))
     all_ = rows.select("path", "chunks", block.alias("blk"), "doc").select("path", "blk", each("chunks").alias("chunk"), "doc", F.lit(2).alias("other"))
     rows = rest.unionByName(all_)
-    return rows.select("path", F.xxhash64("blk", "chunk").alias("block"), "doc", "other")
+    return rows.select(F.xxhash64("path", "blk", "chunk").alias("node"), F.col("path").alias("own"), "doc", "other")
