@@ -75,7 +75,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = now.select(F.col("v").alias("u"), F.col("m").alias("w")).union(now.select("m", "v"))
         low = both.groupBy("u").agg(F.least(F.min("w"), F.col("u")).alias("low"))
-        large = merged(both.where("w >= u"), low, "u").select(F.col("w").alias("v"), F.col("low").alias("m")).union(low.select("u", "low")).where("v != m").distinct()
+        large = merged(both.where("w >= u"), low, "u").select(F.col("w").alias("v"), F.col("low").alias("m")).union(low.select("u", "low")).where("v != m")
         low = large.groupBy("v").agg(F.min("m").alias("low"))
         small = merged(large, low, "v").select(F.col("m").alias("v"), F.col("low").alias("m")).union(low.select("v", "low")).where("v != m").distinct()
         now = saved(small)

@@ -6,7 +6,7 @@ and sends a set to the child named by its minwise value there. A node of at most
 exhaustively on sketches; what passes is confirmed on the full sets. Independent trees bring recall to the
 target. Nodes that are still large at the last level are dealt into blocks; one set for each group found goes on
 to a next round of blocks, and what lies outside a node's largest group meets all its blocks, so no set is left
-out of a comparison because its node is large.
+out of a comparison because its node is large. These rounds only save work, and end when the groups no longer halve.
 """
 
 import numpy as np
@@ -280,10 +280,14 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
 
     if left is not None:
         large = saved(merged(texts, left.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+        before = left.count()
     for turn in range(1, 7 if left is not None else 1):
         reps = grouped()
         one = merged(left, reps.select("doc", "comp"), "doc").groupBy("path", "comp").agg(F.min("doc").alias("doc"))
         one = saved(merged(one, one.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "path"))
+        if (now := one.count()) * 2 > before:
+            break
+        before = now
         more = saved(_links(_blocks(one, leaf, turn), reps, large, k, percent, True))
         if more.isEmpty():
             break
