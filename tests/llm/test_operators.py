@@ -57,6 +57,28 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dedup.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_duplicates_in_a_dense_group(spark):
+    """Texts around one base, most of them alike but below the threshold: pairs that many nodes hold lose no link."""
+    r = np.random.default_rng(5)
+    base = [f"w{x}" for x in r.integers(0, 3000, 150)]
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for p in r.integers(0, 150, int(r.integers(2, 9))):
+            w[p] = f"e{r.integers(0, 40)}"
+        texts.append((i, " ".join(w)))
+    sets = [{tuple(w[j : j + 4]) for j in range(len(w) - 3)} for w in (t.split(" ") for _, t in texts)]
+    up = list(range(len(sets)))
+    for _ in sets:
+        for i in range(len(sets)):
+            for j in range(i):
+                if up[i] != up[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    up[i] = up[j] = min(up[i], up[j])
+    assert 5 < len(set(up)) < 145
+    got = near_dedup.near_duplicates(docs(spark, texts), k=4, leaf=8).collect()
+    assert {x.doc_id: x.component_id for x in got} == dict(enumerate(up))
+
+
 def covered(texts, length):
     seen = collections.Counter()
     raw = [(t or "").encode() for _, t in texts]
