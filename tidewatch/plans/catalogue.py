@@ -143,6 +143,11 @@ QUERIES: dict[str, tuple[str, str]] = {
     "collated": ("V10: score by the mean and deviation of its source type", "SELECT s.slick, s.source, round((s.score - c.mu) / c.sd, 8) AS collated FROM score s JOIN type_moments c ON c.type = s.type"),
     "cumulative_share_80": ("W5: the longest parts that make up 80 %", "SELECT slick, part, link_rank FROM (SELECT slick, part, link_rank, sum(qty) OVER (PARTITION BY slick ORDER BY qty DESC, part, link_rank, price ROWS UNBOUNDED PRECEDING) - qty AS before, sum(qty) OVER (PARTITION BY slick) AS total FROM link) AS x WHERE before < 0.8e0 * total"),
     "cumulative_share_95": ("W5: the largest parts that make up 95 %", "SELECT slick, part, link_rank FROM (SELECT slick, part, link_rank, sum(qty) OVER (PARTITION BY slick ORDER BY qty DESC, part, link_rank, price ROWS UNBOUNDED PRECEDING) - qty AS before, sum(qty) OVER (PARTITION BY slick) AS total FROM link) AS x WHERE before < 0.95e0 * total"),
+    "mosaic_last_wins": ("R1: pixels of overlapping tiles in one scene array, the last tile wins; a pixel that a tile has twice counts with its largest value", """
+        SELECT scene, y, x, round(max_by(prob, tile), 8) AS prob, count(*) AS tiles FROM (
+          SELECT part % 7 AS scene, part % 64 AS y, source % 64 AS x, slick * 8 + link_rank AS tile, max(score) AS prob FROM link
+          GROUP BY part % 7, part % 64, source % 64, slick * 8 + link_rank) AS t GROUP BY scene, y, x"""),
+    "edge_discard": ("R3: instances (as boxes) go whose area lies in the no-data margin by more than half", "SELECT id, round(share, 8) AS margin_share FROM (SELECT id, least(1e0, greatest(0e0, (lat + h / 2 - 40e0) / h)) AS share FROM (SELECT id, lat, 1e0 + id % 5 AS h FROM place) AS b) AS s WHERE share <= 0.5e0"),
     "arf": ("A9 F7: aspect ratio factor, length-weighted, and its gate", "SELECT slick, round(1 - exp((1 - x) / 16), 8) AS arf, 1 - exp((1 - x) / 16) <= 0.35e0 AS skip_vessels FROM (SELECT slick, sum(qty * qty * qty / (price / 1000)) / sum(qty) AS x FROM link GROUP BY slick) AS a"),
     "weighted_average": ("A7 A8: weighted mean with a fallback", "SELECT source, round(coalesce(sum(qty * score) / nullif(sum(qty), 0), avg(score)), 8) AS weighted, round(max(score), 8) AS best FROM link GROUP BY source"),
     "group_rollup": ("A6: median, mode, mean and maximum of a group", "SELECT source, round($median(price), 6) AS med, round(avg(qty), 8) AS mean_qty, max(price) AS top FROM link GROUP BY source"),
