@@ -4,9 +4,10 @@ Every distinct word-shingle set gets a signature of minwise values. A tree start
 node chooses one or two coordinates of the signature (by a hash of its path, 1 / similarity of them on average)
 and sends a set to the child named by its minwise value there. A node of at most `leaf` sets is compared
 exhaustively on sketches; what passes is confirmed on the full sets. Independent trees bring recall to the
-target. Nodes that are still large at the last level are dealt into blocks; one set for each group found goes on
-to a next round of blocks, and what lies outside a node's largest group meets all its blocks, so no set is left
-out of a comparison because its node is large. These rounds only save work, and end when the groups no longer halve.
+target. Large nodes end at the last level, or earlier when one more level would hardly make them smaller. What
+lies outside a large node's largest group then meets all its sets in blocks, so no set is left out of a
+comparison because its node is large. Large nodes of different trees hold much the same sets, so those that
+share sets are first united where that makes fewer comparisons.
 """
 
 import numpy as np
@@ -23,6 +24,10 @@ U = np.uint64
 #: A pair at the similarity of 0.8 agrees in 51 of 64 sketch bytes, standard deviation 3.2; this is five of those below.
 LEAST_AGREEING = 35
 LEVELS = 5
+#: A further level has to leave at most this share of the rows of large nodes.
+SHRINK = 0.8
+#: Blocks of large nodes beside leaf.
+WIDER = 4
 
 
 def _signatures(k: int):
@@ -181,14 +186,15 @@ def _confirm(k: int, percent: int):
                         node, held = name, {}
                     for x in [x for x, (until, _) in held.items() if until < doc]:
                         del held[x]
-                    for x in partners:
-                        for h in held[x][1] if x in held else ():
-                            small, large = sorted((h, s), key=len)
-                            if 100 * len(small) >= percent * len(large) > 0:
-                                both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                                if 100 * both >= percent * (len(small) + len(large) - both):
-                                    a.append(x)
-                                    c.append(doc)
+                    near = [(x, h) for x in partners if x in held for h in held[x][1] if 100 * min(len(h), len(s)) >= percent * max(len(h), len(s)) > 0]
+                    if near:
+                        size = np.array([len(h) for _, h in near])
+                        flat = np.concatenate([h for _, h in near])
+                        hit = s[np.minimum(np.searchsorted(s, flat), len(s) - 1)] == flat
+                        both = np.add.reduceat(hit, np.cumsum(size) - size, dtype=np.int64)
+                        for i in np.flatnonzero(100 * both >= percent * (size + len(s) - both)):
+                            a.append(near[i][0])
+                            c.append(doc)
                     if last is not None:
                         held.setdefault(doc, (last, []))[1].append(s)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
@@ -223,24 +229,27 @@ def _small(small: DataFrame) -> DataFrame:
 
 def _nodes(reps: DataFrame, trees: range, leaf: int) -> tuple[DataFrame, DataFrame | None]:
     """Small nodes of the trees as (path, doc), and what is left of large ones at the last level, both only where a node has sets of two groups."""
-    rows, small, left = reps.mapInArrow(_roots(trees), "path long, doc long, comp long"), None, None
+    rows, small, left, before = reps.mapInArrow(_roots(trees), "path long, doc long, comp long"), None, None, None
     for level in range(1, LEVELS + 1):
+        rows = saved(rows)
         size = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("n > 1 and lo < hi").select("path", "n")
         alive = saved(merged(rows, size, "path"))
         part = alive.where(F.col("n") <= leaf).select("path", "doc")
         small = part if small is None else small.union(part)
         large = alive.where(F.col("n") > leaf)
-        if large.isEmpty():
+        now = large.count()
+        if not now:
             break
-        if level == LEVELS:
+        if level == LEVELS or before and now > SHRINK * before:
             left = large.select("path", "doc", "n")
-        else:
-            rows = merged(large.select("path", "doc"), reps, "doc").select("path", "doc", "comp", "sig").mapInArrow(_deeper, "path long, doc long, comp long")
+            break
+        before = now
+        rows = merged(large.select("path", "doc"), reps, "doc").select("path", "doc", "comp", "sig").mapInArrow(_deeper, "path long, doc long, comp long")
     return small, left
 
 
-def _blocks(left: DataFrame, leaf: int, seed: int) -> DataFrame:
-    block = F.pmod(F.xxhash64("path", "doc", F.lit(seed)), F.ceil(F.col("n") * 1.5 / leaf))
+def _blocks(left: DataFrame, leaf: int) -> DataFrame:
+    block = F.pmod(F.xxhash64("path", "doc"), F.ceil(F.col("n") * 1.5 / leaf))
     return left.select(F.xxhash64("path", block).alias("node"), F.col("path").alias("own"), "doc", F.lit(0).alias("other"))
 
 
@@ -270,35 +279,16 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     small, left = _nodes(reps, range(2), leaf)
     nodes = _small(small)
     if left is not None:
-        nodes = nodes.union(_blocks(left, leaf, 0))
+        nodes = nodes.union(_blocks(left, leaf))
     links = saved(_links(nodes, reps, texts, k, percent, True))
     groups = saved(components(links))
 
-    def grouped() -> DataFrame:
-        rows = merged(classes.select("doc", "sig", "sketch"), groups.withColumnRenamed("id", "doc"), "doc", "left")
-        return rows.select("doc", F.coalesce("component", "doc").alias("comp"), "sig", "sketch")
-
-    if left is not None:
-        large = saved(merged(texts, left.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-        before = left.count()
-    for turn in range(1, 7 if left is not None else 1):
-        reps = grouped()
-        one = merged(left, reps.select("doc", "comp"), "doc").groupBy("path", "comp").agg(F.min("doc").alias("doc"))
-        one = saved(merged(one, one.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "path"))
-        if (now := one.count()) * 2 > before:
-            break
-        before = now
-        more = saved(_links(_blocks(one, leaf, turn), reps, large, k, percent, True))
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        groups = saved(components(links))
-
-    reps = saved(grouped())
+    rows = merged(classes.select("doc", "sig", "sketch"), groups.withColumnRenamed("id", "doc"), "doc", "left")
+    reps = saved(rows.select("doc", F.coalesce("component", "doc").alias("comp"), "sig", "sketch"))
     small, left = _nodes(reps, range(2, 2 + trees), leaf)
     nodes = _small(small)
     if left is not None:
-        nodes = nodes.union(_against_rest(left, reps, leaf))
+        nodes = nodes.union(_against_rest(left, reps, leaf * WIDER))
     more = saved(_links(saved(nodes), reps, texts, k, percent, False))
     if not more.isEmpty():
         links = links.union(more)
@@ -318,11 +308,36 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _sizes(rows: DataFrame) -> DataFrame:
+    """For each path of rows (path, doc, comp) its sets n, its largest group and what lies outside that."""
+    size = rows.groupBy("path", "comp").agg(F.count("*").alias("c")).groupBy("path").agg(F.max(F.struct("c", "comp")).alias("x"), F.sum("c").alias("n"))
+    return size.select("path", "n", F.col("x.comp").alias("giant"), (F.col("n") - F.col("x.c")).alias("rest"))
+
+
+def _united(rows: DataFrame) -> DataFrame:
+    """rows (path, doc, comp) with nodes that share sets united, where that makes fewer comparisons than the nodes by themselves.
+
+    Two rounds of smallest labels: a set takes the smallest of its nodes, a node the smallest of its sets. A node is
+    always in one union with all its sets, so no pair is lost.
+    """
+    union = rows.select("path", F.col("path").alias("union")).distinct()
+    for _ in range(2):
+        named = merged(rows.select("path", "doc"), union, "path")
+        low = named.groupBy("doc").agg(F.min("union").alias("low"))
+        union = saved(merged(named, low, "doc").groupBy("path").agg(F.min("low").alias("union")))
+    whole = saved(merged(rows, union, "path").select(F.col("union").alias("path"), "doc", "comp").distinct())
+    apart = merged(_sizes(rows), union, "path").groupBy("union").agg(F.sum(F.col("rest").cast("double") * F.col("n")).alias("apart"))
+    cost = merged(_sizes(whole).withColumnRenamed("path", "union"), apart, "union")
+    fewer = saved(cost.where(F.col("rest").cast("double") * F.col("n") <= F.col("apart")).select("union"))
+    alone = merged(rows, merged(union, fewer, "union", "left_anti").select("path"), "path", "left_semi")
+    return merged(whole, fewer.withColumnRenamed("union", "path"), "path", "left_semi").union(alone.select("path", "doc", "comp"))
+
+
 def _against_rest(left: DataFrame, reps: DataFrame, leaf: int) -> DataFrame:
     """Of large nodes, all sets outside the largest group (other 1, in chunks) beside every block of all its sets (other 2)."""
-    rows = merged(left, reps.select("doc", "comp"), "doc")
-    size = rows.groupBy("path", "comp").agg(F.count("*").alias("c")).groupBy("path").agg(F.max(F.struct("c", "comp")).alias("x"), F.sum("c").alias("n"))
-    size = size.select("path", F.col("x.comp").alias("giant"), F.ceil(F.col("n") * 1.5 / leaf).alias("blocks"), F.ceil((F.col("n") - F.col("x.c")) * 1.5 / leaf).alias("chunks"))
+    rows = saved(_united(saved(merged(left, reps.select("doc", "comp"), "doc").select("path", "doc", "comp"))))
+    parts = lambda n: F.ceil(F.col(n) * 2 / leaf)
+    size = _sizes(rows).select("path", "giant", parts("n").alias("blocks"), parts("rest").alias("chunks"))
     rows = merged(rows, size, "path").where("chunks > 0")
     block, chunk = F.pmod(F.xxhash64("doc", "path"), "blocks"), F.pmod(F.xxhash64("path", "doc"), "chunks")
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
