@@ -39,3 +39,18 @@ def test_query_equals_oracle(spark, name):
 
 def test_macros_keep_nested_brackets():
     assert catalogue._macro("a $f(g(1, 2), h) b", "f", lambda x, y: f"<{x}|{y}>") == "a <g(1, 2)|h> b"
+
+
+def test_whole_tables_are_read(spark):
+    """Every link gets its flag, and the lineage starts at every detection; brute force over the precursors."""
+    links = spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+    assert catalogue.run("deactivate_by_type", spark, DATA).count() == links
+    assert catalogue.run("exc_sync", spark, DATA).count() == links
+    ids = {r.o_orderkey for r in spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey").collect()}
+    want, todo = {}, list(ids)
+    while todo:
+        i = todo.pop()
+        want[i] = want.get(i, 0) + 1
+        if i in ids:
+            todo += [p for p in [i // 2, *[i // 3] * (i % 5 == 0)] if p > 0]
+    assert {r.id: r.reached for r in catalogue.run("slick_history", spark, DATA).collect()} == want
