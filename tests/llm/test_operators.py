@@ -5,6 +5,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewatch.llm import bytehash, decontaminate, exact_dedup, html_text, mixing, near_dedup, quotes, repeats, toxicity, url_filter, warc
@@ -168,6 +169,23 @@ def test_toxicity_learns_and_holds(spark):
     assert toxicity.toxicity(docs(spark, []), toxicity.fit(d, known)).count() == 0
 
 
+def test_toxicity_counts_all_but_copies():
+    """Texts that share only the passage with the least trigram all count; an equal and a nearly equal one don't."""
+    r = np.random.default_rng(3)
+    passage = " ".join(f"p{i}" for i in range(100))
+    own = [" ".join(f"w{x}" for x in r.integers(0, 10**6, 40)) for _ in range(60)]
+    near = own[0].split(" ")
+    near[30] = "edit"
+    texts = [f"{passage} {x}" for x in own] + [f"{passage}  {own[1].upper()}", f"{passage} {' '.join(near)}"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    rows = pa.Table.from_batches(toxicity._copies(iter([batch])))
+    rows = rows.append_column("toxic", pa.array([0] * len(texts), pa.int32())).sort_by([("key", "ascending"), ("doc_id", "ascending")])
+    assert len(set(rows["key"].to_pylist())) < 40
+    got = next(toxicity._counts(iter(rows.to_batches(max_chunksize=7)))).to_pydict()
+    counted = dict(zip(got["feature"], got["clean"], strict=True))[toxicity.FEATURES]
+    assert counted == 60
+
+
 def test_segments_equal_brute_force():
     r = np.random.default_rng(4)
     for _ in range(200):

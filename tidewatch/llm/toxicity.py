@@ -1,9 +1,10 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Tokens are runs of letters and digits, lower-cased in ASCII; a token also counts by its first bytes (PREFIXES). All are
-hashed into a fixed number of features. Of training texts that are copies of each other (by their least token
-trigram) and have the same label one counts, so that a copied text's own words aren't taken for the reason of its
-label. Log-odds with an informative Dirichlet prior (the distribution of all
+hashed into a fixed number of features. A training text doesn't count if it is proven to be a copy of one with the
+same label: texts that share their least token trigram are compared on all their trigrams with the smallest doc_id
+among them, and by digest with each other. So a copied text's own words aren't taken for the reason of its
+label, and what only shares a passage counts. Log-odds with an informative Dirichlet prior (the distribution of all
 labelled texts, weighted to `prior` occurrences) and their standard errors come from counts over all training rows; a
 token scores as the most certain of its features, less a drift that makes the expected score negative. A scan in
 linear time finds every maximal scoring segment of a text. Segment scores are calibrated as extreme values
@@ -11,6 +12,8 @@ linear time finds every maximal scoring segment of a text. Segment scores are ca
 significant ones add up to goes through a logistic curve fitted to the training rows.
 """
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +29,8 @@ FEATURES = 1 << 18
 PREFIXES = (4, 5, 6, 7, 8)
 #: Rows of labelled scores that the final logistic curve is fitted to, at most.
 CURVE_ROWS = 50_000
+#: Texts with at least this share of common trigrams (Jaccard) are copies.
+COPY = 0.8
 #: Bytes that part tokens: ASCII other than letters and digits.
 APART = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -43,6 +48,12 @@ def _features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.searchsorted(off, start, "right") - 1, word, np.stack(of).astype(np.int64)
 
 
+def _trigrams(word: np.ndarray) -> np.ndarray:
+    """Hashes of three tokens in a row; the tokens themselves of a text with fewer."""
+    with np.errstate(over="ignore"):
+        return bh.mix(word[:-2] * U(3) + word[1:-1] * U(5) + word[2:]) if len(word) > 2 else word
+
+
 def _copies(batches):
     """Adds a key that copies of a text share mostly: the least hash of three tokens in a row; and packs the text."""
     for b in batches:
@@ -50,33 +61,51 @@ def _copies(batches):
         key = np.zeros(b.num_rows, U)
         for i, j in pieces(off):
             row, word, _ = _features(data[off[i] : off[j]], off[i : j + 1] - off[i])
-            with np.errstate(over="ignore"):
-                three = bh.mix(word[:-2] * U(3) + word[1:-1] * U(5) + word[2:])
             first = np.flatnonzero(np.concatenate([[True], np.diff(row) != 0])) if len(row) else row
             for r, a, z in zip(row[first], first, [*first[1:], len(row)], strict=True):
-                key[i + r] = three[a : z - 2].min() if z - a > 2 else word[a:z].min()
+                key[i + r] = _trigrams(word[a:z]).min()
         z = next(packed(iter([b])))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key.view(np.int64)), z.column(1)], names=["doc_id", "key", "z"])
 
 
+class _Group:
+    """The texts of one key and label, smallest doc_id first: tells which are copies."""
+
+    def __init__(self):
+        self.at = self.first = None
+        self.seen: set[bytes] = set()
+
+    def counts(self, at: tuple, word: np.ndarray) -> bool:
+        """Whether the next text, of these tokens, is no copy of the group's first and equal to none of the group."""
+        grams = np.unique(_trigrams(word))
+        digest = hashlib.sha256(word.tobytes()).digest()
+        if at != self.at:
+            self.at, self.first, self.seen = at, grams, {digest}
+            return True
+        if digest in self.seen:
+            return False
+        self.seen.add(digest)
+        both = len(np.intersect1d(grams, self.first, assume_unique=True))
+        return both < COPY * (len(grams) + len(self.first) - both)
+
+
 def _counts(batches):
-    """In how many texts of each label a feature stands, one text for each key and label (the rows come sorted by them);
+    """In how many texts of each label a feature stands, copies left out (the rows come sorted by key, label and doc_id);
     a row for each feature that does. Feature FEATURES counts the texts."""
     total = np.zeros((2, FEATURES + 1), np.int64)
-    last = None
+    group = _Group()
     for b in batches:
         keys = list(zip(b.column("key").to_pylist(), b.column("toxic").to_pylist(), strict=True))
-        new = [k != (keys[n - 1] if n else last) for n, k in enumerate(keys)]
-        last = keys[-1] if keys else last
-        label = np.array([k[1] for k, x in zip(keys, new, strict=True) if x])
-        off, data = text_bytes(unpacked(b.column("z").filter(pa.array(new, pa.bool_()))))
+        label = np.array([k[1] for k in keys])
+        off, data = text_bytes(unpacked(b.column("z")))
         for i, j in pieces(off):
-            row, _, of = _features(data[off[i] : off[j]], off[i : j + 1] - off[i])
-            seen = np.unique((row * FEATURES + of).ravel())
+            row, word, of = _features(data[off[i] : off[j]], off[i : j + 1] - off[i])
+            ends = np.searchsorted(row, np.arange(j - i + 1))
+            new = np.array([group.counts(keys[i + r], word[ends[r] : ends[r + 1]]) for r in range(j - i)], bool)
+            seen = np.unique((row * FEATURES + of)[:, new[row]].ravel())
             for y in (0, 1):
                 total[y, :FEATURES] += np.bincount(seen[label[i + seen // FEATURES] == y] % FEATURES, minlength=FEATURES)
-        for y in (0, 1):
-            total[y, FEATURES] += (label == y).sum()
+                total[y, FEATURES] += (new & (label[i:j] == y)).sum()
     some = np.flatnonzero(total.any(0))
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0, some]), pa.array(total[1, some])], names=["feature", "clean", "toxic"])
 
@@ -194,7 +223,7 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float = 10.0, drift: flo
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
     rows = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_copies, "doc_id long, key long, z binary").join(known.hint("merge"), "doc_id")
-    sorted_ = rows.select("key", "toxic", "z").repartition("key", "toxic").sortWithinPartitions("key", "toxic")
+    sorted_ = rows.select("key", "toxic", "doc_id", "z").repartition("key", "toxic").sortWithinPartitions("key", "toxic", "doc_id", "z")
     found = sorted_.mapInArrow(_counts, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean"), F.sum("toxic")).toArrow()
     counts = np.zeros((2, FEATURES + 1), np.int64)
     at = found.column(0).to_numpy()
