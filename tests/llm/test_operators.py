@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -186,6 +187,32 @@ def test_toxicity_counts_all_but_copies():
     assert counted == 60
 
 
+def test_extreme_values_equal_closed_form():
+    """Scores of 1 with share p and -1 with share q: lambda is log(q / p), K is (q - p) ** 2 / q."""
+    m = toxicity.Model(np.zeros(toxicity.FEATURES + 1, int), np.zeros(toxicity.FEATURES + 1, int), 10, 1.5, 2.5)
+    m.fit_rate(np.array([-100, 100]), np.array([7000, 3000]))
+    assert abs(m.rate - np.log(7 / 3)) < 1e-6 and abs(m.k - 0.16 / 0.7) < 1e-4
+
+
+def test_toxicity_rate_is_of_all_clean_tokens(spark):
+    r = np.random.default_rng(6)
+    texts, labels = [], []
+    for i in range(400):
+        w = [f"w{x}" for x in r.integers(0, 200, 60)]
+        if i % 3 == 0 or i % 20 == 1:
+            w[5] = "slurry"
+        texts.append((i, " ".join([*w, *["common"] * (i % 7)])))
+        labels.append((i, int(i % 3 == 0)))
+    d, known = docs(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int")
+    m = toxicity.fit(d, known)
+    train = [t for (i, t), (_, y) in zip(texts, labels, strict=True) if y == 0 and zlib.crc32(str(i).encode()) % 4 != 2]
+    score = []
+    for t in train:
+        off, data = toxicity.text_bytes(pa.array([t]))
+        score += m.token_scores(toxicity._features(data, off)[2]).tolist()
+    assert max(score) > 0 and abs(np.exp(m.rate * np.round(score, 2)).mean() - 1) < 1e-3
+
+
 def test_segments_equal_brute_force():
     r = np.random.default_rng(4)
     for _ in range(200):

@@ -8,7 +8,8 @@ label, and what only shares a passage counts. Log-odds with an informative Diric
 labelled texts, weighted to `prior` occurrences) and their standard errors come from counts over all training rows; a
 token scores as the most certain of its features, less a drift that makes the expected score negative. A scan in
 linear time finds every maximal scoring segment of a text. Segment scores are calibrated as extreme values
-(Karlin and Altschul: expected number K * m * exp(-lambda * S) of segments as good in m tokens by chance); what the
+(Karlin and Altschul: expected number K * m * exp(-lambda * S) of segments as good in m tokens by chance, lambda and K
+from the scores of all tokens of the clean training texts); what the
 significant ones add up to goes through a logistic curve fitted to the training rows.
 """
 
@@ -143,6 +144,42 @@ def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(s), int(e), b - a) for s, e, a, b, _ in out]
 
 
+def extreme_k(values: np.ndarray, share: np.ndarray, rate: float) -> float:
+    """K of Karlin and Altschul for integer scores (values, each with its share) and their lambda, by sums of up to 100 scores."""
+    step = int(np.gcd.reduce(values))
+    values, rate = values // step, rate * step
+    low = int(values.min())
+    one = np.zeros(int(values.max()) - low + 1)
+    one[values - low] = share
+    total, sums = 0.0, np.ones(1)
+    for k in range(1, 101):
+        sums = np.convolve(sums, one)
+        term = (sums * np.exp(rate * np.minimum(np.arange(len(sums)) + k * low, 0))).sum() / k
+        total += term
+        if term < 1e-6:
+            break
+    return float(np.exp(-2 * total) / ((values * share * np.exp(rate * values)).sum() * -np.expm1(-rate)))
+
+
+def _histogram(model):
+    """The token scores of each text: hundredths, and how many tokens have them."""
+
+    def run(batches):
+        m = model.value
+        for b in batches:
+            off, data = text_bytes(b.column("text"))
+            for i, j in pieces(off):
+                row, _, of = _features(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                hundredths = np.round(m.token_scores(of) * 100).astype(np.int64) + (1 << 20)
+                at, n = np.unique((row << 21) + hundredths, return_counts=True)
+                ends = pa.array(np.searchsorted(at >> 21, np.arange(j - i + 1)), pa.int32())
+                score = pa.array((at & ((1 << 21) - 1)) - (1 << 20), pa.int32())
+                scores = pa.StructArray.from_arrays([score, pa.array(n, pa.int64())], names=["score", "n"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.ListArray.from_arrays(ends, scores)], names=["doc_id", "scores"])
+
+    return run
+
+
 class Model:
     """The score of each pair of features, the extreme-value parameters and the logistic curve."""
 
@@ -154,14 +191,19 @@ class Model:
         self.rate, self.k = 1.0, 0.1
         self.curve = (-3.0, 0.5)
 
-    def fit_rate(self, score: np.ndarray) -> None:
-        """lambda: the positive root of E exp(lambda * score) = 1 over tokens of clean texts."""
-        values, n = np.unique(np.round(score, 2), return_counts=True)
-        lo, hi = 1e-3, 8.0
+    def fit_rate(self, values: np.ndarray, n: np.ndarray) -> None:
+        """lambda and K from how often (n) which token score (values, in hundredths) stands in clean texts.
+
+        lambda is the positive root of E exp(lambda * score) = 1. Where no score is positive, or the mean isn't negative, there
+        is none: lambda then ends at a bound and K stays.
+        """
+        share, lo, hi = n / n.sum(), 1e-3, 8.0
         for _ in range(60):
             mid = (lo + hi) / 2
-            lo, hi = (mid, hi) if (np.exp(np.minimum(mid * values, 50)) * n).sum() < n.sum() else (lo, mid)
+            lo, hi = (mid, hi) if (np.exp(np.minimum(mid * values / 100, 50)) * share).sum() < 1 else (lo, mid)
         self.rate = lo
+        if values.max() > 0 > (values * share).sum():
+            self.k = extreme_k(values, share, lo / 100)
 
     def token_scores(self, of: np.ndarray) -> np.ndarray:
         return self.odds[of[self.z[of].argmax(0), np.arange(of.shape[1])]] - self.drift
@@ -231,7 +273,11 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float = 10.0, drift: flo
     model = Model(counts[0], counts[1], prior, drift, least)
     n = known.count()
     if counts[:, -1].sum():
-        model.fit_rate(np.repeat(model.odds - drift, np.minimum(counts[0, :-1], 50)))
+        first = spark.sparkContext.broadcast(model)
+        scores = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_histogram(first), "doc_id long, scores array<struct<score: int, n: long>>")
+        scores = scores.join(known.where("toxic = 0"), "doc_id").select(F.inline("scores")).groupBy("score").agg(F.sum("n")).toArrow()
+        if scores.num_rows:
+            model.fit_rate(scores.column(0).to_numpy().astype(np.int64), scores.column(1).to_numpy())
         some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= int(CURVE_ROWS / n * (1 << 20)))
         sent = spark.sparkContext.broadcast(model)
         got = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_raw(sent, False), "doc_id long, evidence double").join(some, "doc_id").select("evidence", "toxic").toArrow()
