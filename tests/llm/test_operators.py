@@ -306,3 +306,23 @@ def test_quotes(spark):
     assert (got[1, 2].text, got[1, 2].reply_turn, got[1, 2].depth, got[1, 2].n_quotes) == ("ok", 1, 2, 2)
     assert (got[2, 0].reply_conv, got[2, 0].reply_turn) == (1, 0) and got[3, 0].reply_conv is None and got[None, 1].reply_conv is None
     assert quotes.link_quotes(d.limit(0)).count() == 0
+
+
+def test_quotes_order_by_replies(spark):
+    """Brute force over random answers, within and across conversations; a chain of 20 among them."""
+    r = np.random.default_rng(8)
+    keys = [(c, t) for c in range(6) for t in range(8)]
+    up = {k: keys[int(r.integers(n))] for n, k in enumerate(keys) if n and r.random() < 0.7}
+    up |= {(9, t): (9, t - 1) for t in range(1, 21)}
+    keys += [(9, t) for t in range(21)]
+    rows = [(c, t, "u", (f"> line {up[c, t]}\n" if (c, t) in up else "") + f"line {(c, t)}") for c, t in keys]
+    # an answer within the conversation has to be to an earlier turn, across to a lower conversation: all of `up` are
+    got = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+
+    def root(k, n=0):
+        return root(up[k], n + 1) if k in up else (*k, n)
+
+    assert {(x.conv_id, x.turn): (x.thread_conv, x.thread_turn, x.reply_depth) for x in got} == {k: root(k) for k in keys}
+    assert [(x.conv_id, x.turn) for x in got] == sorted(keys, key=lambda k: (*root(k), *k)) != sorted(keys)
+    at = {(x.conv_id, x.turn): n for n, x in enumerate(got)}
+    assert all(at[k] > at[p] for k, p in up.items())

@@ -3,7 +3,8 @@
 A line that starts with > marks is a quotation, as deep as it has marks. Each quoted line, normalised (marks off, blanks to
 one space, lower case), is hashed and joined with the same line written first in an earlier message: of the same
 conversation where there is one, else of any. A message answers the message that most of its shallowest linked
-quotes come from.
+quotes come from. A thread is a message that answers none and all that answer it, directly or through others, in
+whatever conversations; messages come thread by thread, each after the one it answers.
 """
 
 import re
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import small_batches
+from tidewatch.llm.common import merged, saved, small_batches
 
 MARKS = re.compile(r"^[ \t]{0,3}((?:>[ \t]?)+)")
 
@@ -41,10 +42,27 @@ def _parse(batches):
         yield pa.RecordBatch.from_arrays([*(b.column(n) for n in ("conv_id", "turn", "role")), pa.array(own, pa.string()), pa.array([[{"level": n, "line": s} for n, s in q] for q in quotes], line), pa.array(mine, pa.list_(pa.string()))], names=["conv_id", "turn", "role", "text", "quotes", "lines"])
 
 
+def threads(links: DataFrame) -> DataFrame:
+    """links (conv_id, turn, reply_conv, reply_turn), one row for each answering message and without cycles, as all links go
+    to earlier turns or lower conversations, with the root of the thread (thread_conv, thread_turn) and the number of answers on the way there (reply_depth).
+
+    Each round doubles how far a message sees, up to its root.
+    """
+    now = saved(links.withColumns({"thread_conv": F.col("reply_conv"), "thread_turn": F.col("reply_turn"), "reply_depth": F.lit(1).cast("long")}))
+    while True:
+        further = now.select(F.col("conv_id").alias("thread_conv"), F.col("turn").alias("thread_turn"), F.col("thread_conv").alias("to_conv"), F.col("thread_turn").alias("to_turn"), F.col("reply_depth").alias("more"))
+        step = merged(now, further, ["thread_conv", "thread_turn"], "left")
+        step = saved(step.select("conv_id", "turn", "reply_conv", "reply_turn", F.coalesce("to_conv", "thread_conv").alias("thread_conv"), F.coalesce("to_turn", "thread_turn").alias("thread_turn"), (F.col("reply_depth") + F.coalesce("more", F.lit(0))).alias("reply_depth"), F.col("more").isNotNull().alias("moved")))
+        now = step.drop("moved")
+        if step.where("moved").isEmpty():
+            return now
+
+
 def link_quotes(conversations: DataFrame) -> DataFrame:
-    """One row for each row of conversations (conv_id, turn, role, text), in conversation and reply order: conv_id, turn, role,
+    """One row for each row of conversations (conv_id, turn, role, text), in reply order: conv_id, turn, role,
     text without quotations, n_quotes (quoted lines), depth (deepest level), reply_conv and reply_turn (the message answered
-    by quotation, else null).
+    by quotation, else null), thread_conv and thread_turn (the message at the root, a message that answers none is its own),
+    reply_depth (answers from there). The order is by thread, reply_depth, conv_id and turn.
 
     Null and empty texts have no quotes; rows with a null conv_id or turn are neither linked nor linked to; a line that many
     messages wrote links to its first one only, so copies never multiply; rows that share conv_id and turn share their
@@ -64,6 +82,6 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     target = F.when(same, F.struct("conv_id", F.col("own_turn").alias("turn"))).when(F.col("first.conv_id") < F.col("conv_id"), F.col("first"))
     votes = found.select("conv_id", "turn", "level", target.alias("to")).where("to is not null").groupBy("conv_id", "turn", "level", "to").agg(F.count("*").alias("n"))
     best = votes.groupBy("conv_id", "turn").agg(F.min(F.struct("level", -F.col("n"), -F.col("to.turn"), "to")).alias("x")).select("conv_id", "turn", F.col("x.to.conv_id").alias("reply_conv"), F.col("x.to.turn").alias("reply_turn"))
-    out = parsed.join(best, ["conv_id", "turn"], "left")
+    out = parsed.join(threads(best), ["conv_id", "turn"], "left")
     depth = F.aggregate("quotes", F.lit(0), lambda a, q: F.greatest(a, q["level"]))
-    return out.select("conv_id", "turn", "role", "text", F.size("quotes").cast("long").alias("n_quotes"), depth.cast("long").alias("depth"), "reply_conv", "reply_turn").orderBy("conv_id", "turn")
+    return out.select("conv_id", "turn", "role", "text", F.size("quotes").cast("long").alias("n_quotes"), depth.cast("long").alias("depth"), "reply_conv", "reply_turn", F.coalesce("thread_conv", "conv_id").alias("thread_conv"), F.when(F.col("thread_conv").isNull(), F.col("turn")).otherwise(F.col("thread_turn")).alias("thread_turn"), F.coalesce("reply_depth", F.lit(0)).alias("reply_depth")).orderBy("thread_conv", "thread_turn", "reply_depth", "conv_id", "turn")
