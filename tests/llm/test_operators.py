@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidewatch.llm import bytehash, decontaminate, exact_dedup, html_text, mixing, near_dedup, quotes, repeats, toxicity, url_filter, warc
+from tidewatch.llm import bytehash, decontaminate, exact_dedup, html_text, mixing, near_dedup, queries, quotes, repeats, toxicity, url_filter, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, run int, component string"
 
@@ -326,3 +326,13 @@ def test_quotes_order_by_replies(spark):
     assert [(x.conv_id, x.turn) for x in got] == sorted(keys, key=lambda k: (*root(k), *k)) != sorted(keys)
     at = {(x.conv_id, x.turn): n for n, x in enumerate(got)}
     assert all(at[k] > at[p] for k, p in up.items())
+
+
+def test_mixing_query_makes_the_texts(spark, tmp_path, monkeypatch):
+    d = docs(spark, [(i, f"text {i}") for i in range(300)])
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    made = []
+    monkeypatch.setattr(queries, "saved", lambda df: made.append(df) or df, raising=False)
+    got = [(r.doc_id, r.copy) for r in queries.op6_mixing(spark, str(tmp_path)).collect()]
+    assert [c for c in made[0].columns if c in d.columns] == d.columns
+    assert [(r.doc_id, r.copy) for r in made[0].collect()] == got and all(r.text == f"text {r.doc_id}" for r in made[0].collect())

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quotes, repeats, toxicity, url_filter, warc
+from tidewatch.llm.common import saved
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,9 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "source", "copy", "shuffle_key")
+    # the whole result, texts and all, is shuffled and written; what is compared with SQL is its order
+    whole = saved(mixing.mixed(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return whole.select("doc_id", "source", "copy", "shuffle_key").orderBy("shuffle_key", "doc_id", "copy")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
