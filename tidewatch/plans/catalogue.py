@@ -130,7 +130,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "vessel_extent": ("A5 W8: extent, top speed, first and last position of each vessel", "SELECT ssvid, min(lon) AS minx, max(lon) AS maxx, min(lat) AS miny, max(lat) AS maxy, max(speed) AS top_speed, min(ts) AS first_ts, max(ts) AS last_ts, min_by(lon, ts) AS first_lon, max_by(lon, ts) AS last_lon FROM ping GROUP BY ssvid"),
     "reach_prefilter": ("J14: vessels that can have reached a box", "SELECT ssvid FROM (SELECT ssvid, min(lon) AS minx, max(lon) AS maxx, min(lat) AS miny, max(lat) AS maxy, max(speed) * 0.514444444e0 * 3600 / 111320e0 AS reach FROM ping GROUP BY ssvid) AS v WHERE (maxx >= 10.5e0 AND minx <= 10.9e0 AND maxy >= 40.2e0 AND miny <= 40.6e0) OR (maxx + reach >= 10.5e0 AND minx - reach <= 10.9e0 AND maxy + reach >= 40.2e0 AND miny - reach <= 40.6e0)"),
     "segment_velocity": ("W7 V1: speed along each leg, zero for equal times", f"SELECT ssvid, id, CASE WHEN $epoch(t1) - $epoch(ts) = 0 THEN 0e0 ELSE round((lon1 - lon) * 111320e0 / ($epoch(t1) - $epoch(ts)), 8) END AS vx FROM ({_STEPS}) AS s WHERE t1 IS NOT NULL"),
-    "bezier_positions": ("V1 V2 J21 P19: positions at fractions of each leg on a cubic Bezier curve through its velocities", f"""
+    "bezier_positions": ("V1 in part: positions at three fractions of each leg, without extrapolation, on a cubic Bezier curve through its velocities", f"""
         SELECT ssvid, id, f.f AS fraction, round(power(1 - f.f, 3) * lon + 3 * power(1 - f.f, 2) * f.f * (lon + vx0 * dt / 3) + 3 * (1 - f.f) * power(f.f, 2) * (lon1 - vx1 * dt / 3) + power(f.f, 3) * lon1, 6) AS x FROM (
           SELECT ssvid, id, lon, lon1, $epoch(t1) - $epoch(ts) AS dt, speed * 0.514444444e0 * sin(radians(course)) / 111320e0 / 1000 AS vx0, speed1 * 0.514444444e0 * sin(radians(course1)) / 111320e0 / 1000 AS vx1 FROM ({_STEPS}) AS s WHERE t1 IS NOT NULL) AS l,
           (VALUES (0.25e0), (0.5e0), (0.75e0)) AS f(f)"""),
@@ -139,7 +139,7 @@ QUERIES: dict[str, tuple[str, str]] = {
         SELECT id, round(temporal, 8) AS temporal, round(proximity, 8) AS proximity, round(parity, 8) AS parity, round((temporal + 2 * proximity + parity) / 4, 8) AS total FROM (
           SELECT id, exp(-power(dt / (CASE WHEN dt > 0 THEN 600e0 ELSE 10000e0 END), 2)) AS temporal, exp(-power(d / greatest(3000 * abs(dt) / 3600, 500e0), 5)) AS proximity, CASE WHEN traj <= 0 OR cl <= 0 THEN 0e0 ELSE exp(-5.77e0 * power(ln(cl / traj), 2)) END AS parity
           FROM (SELECT id, (id % 4001) * 5e0 - 10000 AS dt, value * 20 AS d, 1000 + speed * 100 AS cl, 800 + course * 5 AS traj FROM ping) AS a) AS b"""),
-    "point_scores": ("V9 P15 F16: weighted decay of angle and distance, the best for each point", "SELECT site, round(max(least(1e0, greatest(0e0, w * exp(-theta * 6.4e0) * exp(-d / 19200e0)))), 8) AS score FROM (SELECT CAST(part % 500 AS INT) AS site, (1 + disc) / 1.1e0 AS w, (qty % 10) / 10e0 AS theta, price AS d FROM link) AS x GROUP BY site"),
+    "point_scores": ("V9: weighted decay of angle and distance, the best for each point", "SELECT site, round(max(least(1e0, greatest(0e0, w * exp(-theta * 6.4e0) * exp(-d / 19200e0)))), 8) AS score FROM (SELECT CAST(part % 500 AS INT) AS site, (1 + disc) / 1.1e0 AS w, (qty % 10) / 10e0 AS theta, price AS d FROM link) AS x GROUP BY site"),
     "collated": ("V10: score by the mean and deviation of its source type", "SELECT s.slick, s.source, round((s.score - c.mu) / c.sd, 8) AS collated FROM score s JOIN type_moments c ON c.type = s.type"),
     "cumulative_share_80": ("W5: the longest parts that make up 80 %", "SELECT slick, part, link_rank FROM (SELECT slick, part, link_rank, sum(qty) OVER (PARTITION BY slick ORDER BY qty DESC, part, link_rank, price ROWS UNBOUNDED PRECEDING) - qty AS before, sum(qty) OVER (PARTITION BY slick) AS total FROM link) AS x WHERE before < 0.8e0 * total"),
     "cumulative_share_95": ("W5: the largest parts that make up 95 %", "SELECT slick, part, link_rank FROM (SELECT slick, part, link_rank, sum(qty) OVER (PARTITION BY slick ORDER BY qty DESC, part, link_rank, price ROWS UNBOUNDED PRECEDING) - qty AS before, sum(qty) OVER (PARTITION BY slick) AS total FROM link) AS x WHERE before < 0.95e0 * total"),
@@ -156,13 +156,13 @@ QUERIES: dict[str, tuple[str, str]] = {
           SELECT type, score, truth, row_number() OVER (PARTITION BY slick ORDER BY score DESC, source, truth) AS r, max(CASE WHEN NOT truth THEN score ELSE 0e0 END) OVER (PARTITION BY slick) AS false_best FROM truth) AS x WHERE truth GROUP BY type"""),
     "score_moments": ("A20 N17 T16: mean, population and sample deviation by type", "SELECT type, round(avg(score), 8) AS mean, round(stddev_pop(score), 8) AS sd_pop, round(stddev_samp(score), 8) AS sd_samp FROM truth WHERE truth GROUP BY type"),
     "true_rank": ("N1 W6: rank of the truth where a detection has just one", "SELECT slick, r FROM (SELECT slick, truth, row_number() OVER (PARTITION BY slick ORDER BY score DESC, source, truth) AS r, sum(CASE WHEN truth THEN 1 ELSE 0 END) OVER (PARTITION BY slick) AS n FROM truth) AS x WHERE truth AND n = 1"),
-    "collation_grid": ("N2 N3: mean rank and top-3 share over a grid of mean and deviation", """
+    "collation_grid": ("N2: mean rank and top-3 share over a grid of mean and deviation", """
         SELECT mu, sd, round(avg(r * 1e0), 8) AS mean_rank, round(avg(CASE WHEN r <= 3 THEN 1e0 ELSE 0e0 END), 8) AS top3 FROM (SELECT g.mu, g.sd, truth, row_number() OVER (PARTITION BY g.mu, g.sd, slick ORDER BY (CASE WHEN type = 1 THEN (score - g.mu) / g.sd ELSE score END) DESC, source, truth) AS r
           FROM truth, (SELECT mu, sd FROM (VALUES (0.2e0), (0.5e0), (0.8e0)) AS m(mu), (VALUES (0.1e0), (0.3e0)) AS s(sd)) AS g) AS x WHERE truth GROUP BY mu, sd"""),
     "optimizer_grid": ("N4: share of detections whose truth comes first, over a grid", """
         SELECT mu, round(sum(CASE WHEN truth THEN 1e0 ELSE 0e0 END) / count(*), 8) AS share FROM (SELECT g.mu, truth, row_number() OVER (PARTITION BY g.mu, slick ORDER BY (CASE WHEN type = 2 THEN score - g.mu ELSE score END) DESC, source, truth) AS r, max(CASE WHEN truth THEN 1 ELSE 0 END) OVER (PARTITION BY g.mu, slick) AS has
           FROM truth, (VALUES (-0.5e0), (0e0), (0.5e0), (1e0)) AS g(mu)) AS x WHERE r = 1 AND has = 1 GROUP BY mu"""),
-    "weight_sweep": ("N14: top-3 share over weights of the temporal score", "SELECT w, round(avg(r * 1e0), 8) AS mean_rank FROM (SELECT g.w, truth, row_number() OVER (PARTITION BY g.w, slick ORDER BY (score * g.w + type) / (3 + g.w) DESC, source, truth) AS r FROM truth, (VALUES (0e0), (0.25e0), (1e0), (10e0)) AS g(w)) AS x WHERE truth GROUP BY w"),
+    "weight_sweep": ("N14 in part: mean rank at four weights of the temporal score", "SELECT w, round(avg(r * 1e0), 8) AS mean_rank FROM (SELECT g.w, truth, row_number() OVER (PARTITION BY g.w, slick ORDER BY (score * g.w + type) / (3 + g.w) DESC, source, truth) AS r FROM truth, (VALUES (0e0), (0.25e0), (1e0), (10e0)) AS g(w)) AS x WHERE truth GROUP BY w"),
     "rank_regressions": ("N15: truths that rank lower than before", "SELECT slick, source, old_rank, new_rank FROM (SELECT slick, source, truth, row_number() OVER (PARTITION BY slick ORDER BY score DESC, source, truth) AS old_rank, row_number() OVER (PARTITION BY slick ORDER BY score - type DESC, source, truth) AS new_rank FROM truth) AS x WHERE truth AND new_rank > old_rank"),
     "metrics_long": ("N16: wide metrics to long form", "SELECT slick, metric, round(v, 8) AS v FROM (SELECT slick, 'best' AS metric, max(score) AS v FROM truth GROUP BY slick UNION ALL SELECT slick, 'mean', avg(score) FROM truth GROUP BY slick) AS x"),
     "missing_truth": ("N6 J15: truths that no candidate met get score 0 and no rank", "SELECT DISTINCT t.slick, t.source, 0e0 AS score FROM truth t LEFT ANTI JOIN (SELECT slick, source FROM score WHERE score > 0) AS c ON c.slick = t.slick AND c.source = t.source WHERE t.truth"),
@@ -185,7 +185,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "map_class": ("J19: class by model index and name, an explicit one first", "SELECT s.id, coalesce(CASE WHEN s.id % 10 = 0 THEN 9 END, c.id) AS cls FROM slick s LEFT JOIN (VALUES (1, 'INFRA'), (2, 'NATURAL'), (3, 'VESSEL')) AS m(idx, short_name) ON m.idx = s.id % 4 LEFT JOIN cls c ON c.short_name = m.short_name"),
     "hitl_merge": ("D2 A13: detections merged into one with joined notes", "SELECT run, min(ts) AS first_ts, max(ts) AS last_ts, round(sum(area), 4) AS area, count(*) AS n, $join(id) AS precursors FROM slick WHERE active GROUP BY run"),
     "hitl_split": ("D3: a detection split in parts with lineage, the old one inactive", "SELECT s.id AS precursor, s.id * 10 + k.k AS id, round(s.area / 3, 6) AS area, true AS active FROM slick s, (VALUES (0), (1), (2)) AS k(k) WHERE s.cls = 9 UNION ALL SELECT CAST(NULL AS BIGINT), id, round(area, 6), false FROM slick WHERE cls = 9"),
-    "pixel_stats": ("A17 R4: mean, median and maximum of a tile's pixels", "SELECT vec_id, round(avg(CAST(p AS DOUBLE)), 6) AS mean, round($median(CAST(p AS DOUBLE)), 6) AS med, round(max(CAST(p AS DOUBLE)), 6) AS top FROM (SELECT vec_id, $explode(embedding) AS p FROM embeddings) AS x GROUP BY vec_id"),
+    "pixel_stats": ("A17: mean, median and maximum of a tile's pixels", "SELECT vec_id, round(avg(CAST(p AS DOUBLE)), 6) AS mean, round($median(CAST(p AS DOUBLE)), 6) AS med, round(max(CAST(p AS DOUBLE)), 6) AS top FROM (SELECT vec_id, $explode(embedding) AS p FROM embeddings) AS x GROUP BY vec_id"),
     "zonal_stats": ("A17: sums of pixels by class and the best class", "SELECT label, count(*) AS n, round(sum(CAST(p AS DOUBLE)), 4) AS total FROM (SELECT label, $explode(embedding) AS p FROM embeddings) AS x WHERE p > 0 GROUP BY label"),
     "mask_class": ("P17 A15: land before ice before none", "SELECT id, CASE WHEN lon < -60 THEN 'LAND' WHEN lat > 30 THEN 'SEA_ICE' END AS mask FROM place"),
     "global_bounds": ("A16: bounds of all", "SELECT min(lon) AS minx, min(lat) AS miny, max(lon) AS maxx, max(lat) AS maxy FROM place"),
