@@ -6,7 +6,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,6 +34,11 @@ def merged(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "i
     return left.join(right.hint("merge"), on, how)
 
 
+def merged_on(left: DataFrame, right: DataFrame, condition: Column, how: str) -> DataFrame:
+    """merged() by a condition, for sides whose keys have other names or may be null."""
+    return left.join(right.hint("merge"), condition, how)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches that Python workers hold, whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
@@ -68,7 +73,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): rows (id, component), component the smallest id.
 
     Large-star and small-star steps in turn; each is an aggregate and a join on one row for each node, so
-    that no neighbourhood is ever collected. Empty edges give an empty table; loops and repeats are harmless.
+    that no neighbourhood is ever collected. The rounds grow with the square of the logarithm of a component's size at
+    most; an unfinished labelling is an error. Empty edges give an empty table; loops and repeats are harmless.
     """
     now = saved(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct())
     mark = None
@@ -83,4 +89,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if tuple(is_star) == mark:
             break
         mark = tuple(is_star)
+    else:
+        raise RuntimeError(f"components not settled after {rounds} rounds")
     return now.groupBy(F.col("v").alias("id")).agg(F.min("m").alias("component")).union(now.select(F.col("m").alias("id"), "m").distinct()).distinct()

@@ -2,12 +2,12 @@
 
 Every distinct word-shingle set gets a signature of minwise values. A tree starts with all sets in its root; a
 node chooses one or two coordinates of the signature (by a hash of its path, 1 / similarity of them on average)
-and sends a set to the child named by its minwise value there. A node of at most `leaf` sets is compared
-exhaustively on sketches; what passes is confirmed on the full sets. Independent trees bring recall to the
-target. Large nodes end at the last level, or earlier when one more level would hardly make them smaller. What
-lies outside a large node's largest group then meets all its sets in blocks, so no set is left out of a
-comparison because its node is large. Large nodes of different trees hold much the same sets, so those that
-share sets are first united where that makes fewer comparisons.
+and sends a set to the child named by its minwise value there. A node of at most `leaf` sets (and `room` shingles)
+is compared exhaustively on sketches; what passes is confirmed on the full sets. Independent trees bring recall to
+the target. Each larger node branches further for as long as a level at least halves the comparisons that it
+needs. A node of sets that are all much alike doesn't shrink so: there, what lies outside its largest group meets
+all its sets in blocks, so no set is left out of a comparison because its node is large. Such nodes of different
+trees hold much the same sets, so those that share sets are first united where that makes fewer comparisons.
 """
 
 import numpy as np
@@ -21,13 +21,12 @@ from tidewatch.llm.common import components, merged, pieces, saved, small_batche
 
 COORDS = 64
 U = np.uint64
-#: A pair at the similarity of 0.8 agrees in 51 of 64 sketch bytes, standard deviation 3.2; this is five of those below.
+#: A pair at the similarity of 0.8 agrees in 51 of 64 sketch bytes, standard deviation 3.2: fewer than this with a chance of 1.1e-6.
 LEAST_AGREEING = 35
-LEVELS = 5
-#: A further level has to leave at most this share of the rows of large nodes.
-SHRINK = 0.8
-#: Blocks of large nodes beside leaf.
-WIDER = 4
+#: A further level of a large node has to leave at most this share of its comparisons.
+SHRINK = 0.5
+#: Sets whose agreement with all of a node is counted at once.
+ROWS = 256
 
 
 def _signatures(k: int):
@@ -85,20 +84,57 @@ def _roots(trees: range):
                 paths.append(p)
                 rows.append(r)
             rows = pa.array(np.concatenate([*rows, np.zeros(0, np.int64)]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*paths, np.zeros(0, U)]).view(np.int64)), b.column("doc").take(rows), b.column("comp").take(rows)], names=["path", "doc", "comp"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*paths, np.zeros(0, U)]).view(np.int64)), *(b.column(c).take(rows) for c in ("doc", "comp", "size"))], names=["path", "doc", "comp", "size"])
 
     return run
 
 
 def _deeper(batches):
+    """The children of nodes (path, doc); up is the node that they come from."""
     for b in batches:
         p, r = _children(b.column("path").to_numpy(zero_copy_only=False).view(U), _sig_array(b.column("sig")))
         r = pa.array(r)
-        yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), b.column("doc").take(r), b.column("comp").take(r)], names=["path", "doc", "comp"])
-
-
-def _compare(forest: bool):
-    """Of each node the sets that have a partner with a sketch that agrees often enough: (node, doc, partners, last).
+        yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), *(b.column(c).take(r) for c in ("doc", "comp", "size", "path"))], names=["path", "doc", "comp", "size", "up"])
+
+
+def _pairs(members: list[dict], percent: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (larger, smaller document) of a node that may be similar: of different groups and opposite sides, of
+    like sizes, and with sketches that agree often enough; with forest only the best one of each larger document."""
+    members.sort(key=lambda m: m["doc"])
+    doc, comp, other, size = (np.array([m[x] for m in members]) for x in ("doc", "comp", "other", "size"))
+    n, at = len(doc), np.arange(len(doc))
+    sketch = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint8).reshape(n, COORDS).T.copy()
+    _, group = np.unique(comp, return_inverse=True)
+    look = at if forest else at[group != np.bincount(group).argmax()]  # the sets of one group needn't meet each other
+    looked = np.isin(at, look)
+    met, more, less = None, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for rows in np.split(look, range(ROWS, len(look), ROWS)):
+        agree = np.zeros((len(rows), n), np.uint8)
+        for x in sketch:
+            agree += x[rows, None] == x
+        hit = (agree >= LEAST_AGREEING) & (comp[rows, None] != comp)
+        if other.any():
+            hit &= other[rows, None] != other
+        hit &= 100 * np.minimum(size[rows, None], size) >= percent * np.maximum(size[rows, None], size)
+        hit &= (at < rows[:, None]) if forest else ~looked | (at < rows[:, None])
+        if not hit.any():
+            continue
+        if forest:
+            best = np.where(hit, agree, 0).argmax(1)
+            i, j = rows[hit.any(1)], best[hit.any(1)]
+        else:
+            met = _met_before(members) if met is None else met
+            i, j = np.nonzero(hit & ~met[rows])
+            i = rows[i]
+        more.append(np.maximum(i, j))
+        less.append(np.minimum(i, j))
+    docs, of = np.unique(doc, return_inverse=True)  # a set may stand on both sides
+    found = np.unique(of[np.concatenate(more)] * len(docs) + of[np.concatenate(less)])
+    return docs[found // len(docs)], docs[found % len(docs)]
+
+
+def _compare(percent: int, forest: bool):
+    """Of each node the sets that have a partner to be confirmed: (node, doc, partners, last).
 
     partners are smaller documents of other groups: the best one only, or all of them. A pair that several nodes
     hold is left to the smallest of them: p1 and p2 list the nodes where a set stands on either side of the comparison.
@@ -107,52 +143,33 @@ def _compare(forest: bool):
 
     def run(batches):
         for b in batches:
-            node, docs, partners, last = [], [], [], []
             for name, members in zip(b.column("node").to_pylist(), b.column("members").to_pylist(), strict=True):
-                members.sort(key=lambda m: m["doc"])
-                doc, comp, other, own = (np.array([m[x] for m in members]) for x in ("doc", "comp", "other", "own"))
-                s = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint8).reshape(-1, COORDS)
-                n = len(doc)
-                agree = np.zeros((n, n), np.int16)
-                for i in range(1, n):
-                    agree[i, :i] = (s[:i] == s[i]).sum(1)
-                agree[comp[:, None] == comp[None, :]] = 0
-                if other.any():
-                    agree[other[:, None] == other[None, :]] = 0
-                agree[agree < LEAST_AGREEING] = 0
-                if not agree.any():
+                later, partner = _pairs(members, percent, forest)
+                docs = np.union1d(later, partner)
+                if not len(docs):
                     continue
-                if forest:
-                    best = agree.argmax(1)
-                    i = np.flatnonzero(agree[np.arange(n), best])
-                    j = best[i]
-                else:
-                    agree[_met_before(members, own[0])] = 0
-                    i, j = np.nonzero(agree)
-                pairs = np.unique(np.stack([doc[i], doc[j]], 1), axis=0)
-                for d in np.unique(pairs):
-                    later = pairs[pairs[:, 1] == d, 0]
-                    node.append(name)
-                    docs.append(int(d))
-                    partners.append(pairs[pairs[:, 0] == d, 1].tolist())
-                    last.append(int(later.max()) if len(later) else None)
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(docs, pa.int64()), pa.array(partners, pa.list_(pa.int64())), pa.array(last, pa.int64())], names=["node", "doc", "partners", "last"])
+                last = np.full(len(docs), -1)
+                np.maximum.at(last, np.searchsorted(docs, partner), np.searchsorted(docs, later))
+                starts = pa.array(np.append(np.searchsorted(later, docs), len(later)), pa.int32())
+                cols = [pa.array(np.full(len(docs), name)), pa.array(docs), pa.ListArray.from_arrays(starts, pa.array(partner)), pa.array(docs[last], mask=last < 0)]
+                yield pa.RecordBatch.from_arrays(cols, names=["node", "doc", "partners", "last"])
 
     return run
 
 
-def _met_before(members: list[dict], own: int) -> np.ndarray:
-    """Whether two members stand on opposite sides of a comparison with a smaller name than own."""
-    sides = []
-    names = np.unique(np.array([x for m in members for side in ("p1", "p2") for x in m[side] if x < own], np.int64))
-    for side in ("p1", "p2"):
-        at = np.zeros((len(members), len(names)), np.float32)
-        for i, m in enumerate(members):
-            mine = np.array([x for x in m[side] if x < own], np.int64)
-            at[i, np.searchsorted(names, mine)] = 1
-        sides.append(at)
-    met = sides[0] @ sides[1].T > 0
-    return met | met.T
+def _met_before(members: list[dict]) -> np.ndarray:
+    """Whether two members stand on opposite sides of a comparison with a smaller name than this one's."""
+    met = np.zeros((len(members), len(members)), bool)
+    sides: dict[int, tuple[list, list]] = {}
+    for i, m in enumerate(members):
+        for k, side in enumerate(("p1", "p2")):
+            for x in m[side]:
+                if x < m["own"]:
+                    sides.setdefault(x, ([], []))[k].append(i)
+    for a, b in sides.values():
+        if len(a) + len(b) > 2:
+            met[np.ix_(a, b)] = met[np.ix_(b, a)] = True
+    return met
 
 
 def packed(batches):
@@ -207,7 +224,7 @@ def _links(nodes: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent:
 
     A document's text goes once to each node where it has a partner, however many partners there are.
     """
-    full = merged(nodes, reps.select("doc", "comp", "sketch"), "doc")
+    full = merged(nodes, reps.select("doc", "comp", "size", "sketch"), "doc")
     if forest:
         none = F.array().cast("array<long>")
         full = full.withColumn("p1", none).withColumn("p2", none)
@@ -215,8 +232,8 @@ def _links(nodes: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent:
         sides = nodes.select("doc", "own", "other").distinct().groupBy("doc")
         sides = sides.agg(*(F.collect_set(F.when(F.col("other") != out, F.col("own"))).alias(side) for side, out in (("p1", 2), ("p2", 1))))
         full = merged(full, sides, "doc")
-    full = full.groupBy("node").agg(F.collect_list(F.struct("doc", "comp", "other", "own", "sketch", "p1", "p2")).alias("members"))
-    found = full.mapInArrow(_compare(forest), "node long, doc long, partners array<long>, last long")
+    full = full.groupBy("node").agg(F.collect_list(F.struct("doc", "comp", "size", "other", "own", "sketch", "p1", "p2")).alias("members"))
+    found = full.mapInArrow(_compare(percent, forest), "node long, doc long, partners array<long>, last long")
     rows = merged(found, texts.withColumnRenamed("doc_id", "doc"), "doc").repartition("node").sortWithinPartitions("node", "doc")
     return rows.mapInArrow(_confirm(k, percent), "a long, b long").distinct()
 
@@ -227,39 +244,57 @@ def _small(small: DataFrame) -> DataFrame:
     return sets.select(F.xxhash64("m").alias("node"), F.explode("m").alias("doc")).select("node", F.col("node").alias("own"), "doc", F.lit(0).alias("other"))
 
 
-def _nodes(reps: DataFrame, trees: range, leaf: int) -> tuple[DataFrame, DataFrame | None]:
-    """Small nodes of the trees as (path, doc), and what is left of large ones at the last level, both only where a node has sets of two groups."""
-    rows, small, left, before = reps.mapInArrow(_roots(trees), "path long, doc long, comp long"), None, None, None
-    for level in range(1, LEVELS + 1):
-        rows = saved(rows)
-        size = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("n > 1 and lo < hi").select("path", "n")
-        alive = saved(merged(rows, size, "path"))
-        part = alive.where(F.col("n") <= leaf).select("path", "doc")
-        small = part if small is None else small.union(part)
-        large = alive.where(F.col("n") > leaf)
-        now = large.count()
-        if not now:
-            break
-        if level == LEVELS or before and now > SHRINK * before:
-            left = large.select("path", "doc", "n")
-            break
-        before = now
-        rows = merged(large.select("path", "doc"), reps, "doc").select("path", "doc", "comp", "sig").mapInArrow(_deeper, "path long, doc long, comp long")
+def _parts(n: str, weight: str, leaf: int, room: int):
+    """Into how many parts n sets with so many shingles go, so that each has at most leaf sets and room shingles."""
+    return F.least(F.greatest(F.ceil(F.col(n) / leaf), F.ceil(F.col(weight) / room)), F.col(n))
+
+
+def _alive(rows: DataFrame, leaf: int, room: int) -> DataFrame:
+    """rows (path, doc, comp, size ...) of the nodes that have sets of two groups, with the parts they go into."""
+    size = rows.groupBy("path").agg(F.count("*").alias("n"), F.sum("size").alias("weight"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    size = size.where("n > 1 and lo < hi").select("path", _parts("n", "weight", leaf, room).alias("parts"))
+    return saved(merged(rows, size, "path"))
+
+
+def _cost(rows: DataFrame, of: str) -> DataFrame:
+    """The comparisons that the nodes of rows need: sums of all sets by those outside the largest group, for each `of`."""
+    by = ["path"] if of == "path" else [of, "path"]
+    groups = rows.groupBy(*by, "comp").agg(F.count("*").alias("c"))
+    nodes = groups.groupBy(*by).agg(F.sum("c").alias("n"), F.max("c").alias("most"))
+    return nodes.groupBy(of).agg(F.sum((F.col("n") - F.col("most")).cast("double") * F.col("n")).alias("cost"))
+
+
+def _nodes(reps: DataFrame, trees: range, leaf: int, room: int) -> tuple[DataFrame, DataFrame | None]:
+    """Small nodes of the trees as (path, doc), and the large ones that don't shrink (path, doc, comp, size, parts),
+    both only where a node has sets of two groups."""
+    alive = _alive(saved(reps.mapInArrow(_roots(trees), "path long, doc long, comp long, size long")), leaf, room)
+    small, large, left = alive.where("parts = 1").select("path", "doc"), alive.where("parts > 1"), None
+    while not large.isEmpty():
+        rows = merged(large.select("path", "doc"), reps, "doc").mapInArrow(_deeper, "path long, doc long, comp long, size long, up long")
+        below = _alive(saved(rows), leaf, room)
+        cost = merged(_cost(large, "path"), _cost(below, "up").select(F.col("up").alias("path"), F.col("cost").alias("after")), "path", "left")
+        on = saved(cost.where(F.coalesce("after", F.lit(0.0)) <= SHRINK * F.col("cost")).select("path"))
+        stay = merged(large, on, "path", "left_anti").select("path", "doc", "comp", "size", "parts")
+        left = stay if left is None else left.union(stay)
+        below = merged(below, on.withColumnRenamed("path", "up"), "up", "left_semi")
+        small = small.union(below.where("parts = 1").select("path", "doc"))
+        large = saved(below.where("parts > 1").drop("up"))
     return small, left
 
 
-def _blocks(left: DataFrame, leaf: int) -> DataFrame:
-    block = F.pmod(F.xxhash64("path", "doc"), F.ceil(F.col("n") * 1.5 / leaf))
+def _blocks(left: DataFrame) -> DataFrame:
+    block = F.pmod(F.xxhash64("path", "doc"), "parts")
     return left.select(F.xxhash64("path", block).alias("node"), F.col("path").alias("own"), "doc", F.lit(0).alias("other"))
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, leaf: int = 64) -> DataFrame:
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 16, leaf: int = 4096, room: int = 1 << 22) -> DataFrame:
     """One row for each row of documents (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Texts are linked when 100 * |A & B| >= percent * |A | B| for their sets of distinct k-word shingles; every link
     that counts is confirmed on full sets. component_id is the smallest doc_id reachable. Two trees first join
     groups by their best pairs; `trees` more look for links between different groups only. A pair at the
-    threshold is in a common small node of one tree with chance 0.5 to 0.8, so 18 trees miss it with chance below 1e-5.
+    threshold is in a common node of one tree with chance 0.84 after one level and 0.52 after five, so 18 trees miss it
+    with a chance below 2e-6, and its sketches with one of 1e-6; more similar pairs are missed less.
 
     Null, empty and blank texts have no shingles and stay alone; a null doc_id stays alone with a null component_id
     and is kept; equal rows are linked; rows that share a doc_id count as one document with all their links; other
@@ -270,25 +305,25 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     docs = documents.select(F.col("doc_id").cast("long"), "text")
     signed = saved(docs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, digest binary, sig binary, sketch binary"))
     found = signed.where("doc_id is not null and n_shingles > 0")
-    classes = saved(found.groupBy("digest", "n_shingles").agg(F.min(F.struct("doc_id", "sig", "sketch")).alias("x")).select("digest", "n_shingles", F.col("x.doc_id").alias("doc"), "x.sig", "x.sketch"))
-    reps = classes.select("doc", F.col("doc").alias("comp"), "sig", "sketch")
+    classes = saved(found.groupBy("digest", "n_shingles").agg(F.min(F.struct("doc_id", "sig", "sketch")).alias("x")).select("digest", "n_shingles", F.col("x.doc_id").alias("doc"), F.col("n_shingles").alias("size"), "x.sig", "x.sketch"))
+    reps = classes.select("doc", F.col("doc").alias("comp"), "size", "sig", "sketch")
     alone = merged(found.select("doc_id", "digest", "n_shingles"), classes.select("digest", "n_shingles", "doc"), ["digest", "n_shingles"])
     alone = alone.where("doc_id != doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
     texts = docs.mapInArrow(packed, "doc_id long, z binary")
 
-    small, left = _nodes(reps, range(2), leaf)
+    small, left = _nodes(reps, range(2), leaf, room)
     nodes = _small(small)
     if left is not None:
-        nodes = nodes.union(_blocks(left, leaf))
+        nodes = nodes.union(_blocks(left))
     links = saved(_links(nodes, reps, texts, k, percent, True))
     groups = saved(components(links))
 
-    rows = merged(classes.select("doc", "sig", "sketch"), groups.withColumnRenamed("id", "doc"), "doc", "left")
-    reps = saved(rows.select("doc", F.coalesce("component", "doc").alias("comp"), "sig", "sketch"))
-    small, left = _nodes(reps, range(2, 2 + trees), leaf)
+    rows = merged(classes.select("doc", "size", "sig", "sketch"), groups.withColumnRenamed("id", "doc"), "doc", "left")
+    reps = saved(rows.select("doc", F.coalesce("component", "doc").alias("comp"), "size", "sig", "sketch"))
+    small, left = _nodes(reps, range(2, 2 + trees), leaf, room)
     nodes = _small(small)
     if left is not None:
-        nodes = nodes.union(_against_rest(left, reps, leaf * WIDER))
+        nodes = nodes.union(_against_rest(left, leaf, room))
     more = saved(_links(saved(nodes), reps, texts, k, percent, False))
     if not more.isEmpty():
         links = links.union(more)
@@ -309,13 +344,13 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
 
 
 def _sizes(rows: DataFrame) -> DataFrame:
-    """For each path of rows (path, doc, comp) its sets n, its largest group and what lies outside that."""
-    size = rows.groupBy("path", "comp").agg(F.count("*").alias("c")).groupBy("path").agg(F.max(F.struct("c", "comp")).alias("x"), F.sum("c").alias("n"))
-    return size.select("path", "n", F.col("x.comp").alias("giant"), (F.col("n") - F.col("x.c")).alias("rest"))
+    """For each path of rows (path, doc, comp, size) its sets n and their shingles weight, its largest group and what lies outside that."""
+    size = rows.groupBy("path", "comp").agg(F.count("*").alias("c"), F.sum("size").alias("w")).groupBy("path").agg(F.max(F.struct("c", "comp", "w")).alias("x"), F.sum("c").alias("n"), F.sum("w").alias("weight"))
+    return size.select("path", "n", "weight", F.col("x.comp").alias("giant"), (F.col("n") - F.col("x.c")).alias("rest"), (F.col("weight") - F.col("x.w")).alias("rest_weight"))
 
 
 def _united(rows: DataFrame) -> DataFrame:
-    """rows (path, doc, comp) with nodes that share sets united, where that makes fewer comparisons than the nodes by themselves.
+    """rows (path, doc, comp, size) with nodes that share sets united, where that makes fewer comparisons than the nodes by themselves.
 
     Two rounds of smallest labels: a set takes the smallest of its nodes, a node the smallest of its sets. A node is
     always in one union with all its sets, so no pair is lost.
@@ -325,19 +360,19 @@ def _united(rows: DataFrame) -> DataFrame:
         named = merged(rows.select("path", "doc"), union, "path")
         low = named.groupBy("doc").agg(F.min("union").alias("low"))
         union = saved(merged(named, low, "doc").groupBy("path").agg(F.min("low").alias("union")))
-    whole = saved(merged(rows, union, "path").select(F.col("union").alias("path"), "doc", "comp").distinct())
-    apart = merged(_sizes(rows), union, "path").groupBy("union").agg(F.sum(F.col("rest").cast("double") * F.col("n")).alias("apart"))
-    cost = merged(_sizes(whole).withColumnRenamed("path", "union"), apart, "union")
-    fewer = saved(cost.where(F.col("rest").cast("double") * F.col("n") <= F.col("apart")).select("union"))
+    whole = saved(merged(rows, union, "path").select(F.col("union").alias("path"), "doc", "comp", "size").distinct())
+    apart = merged(_cost(rows, "path"), union, "path").groupBy("union").agg(F.sum("cost").alias("apart"))
+    cost = merged(_cost(whole, "path").withColumnRenamed("path", "union"), apart, "union")
+    fewer = saved(cost.where("cost <= apart").select("union"))
     alone = merged(rows, merged(union, fewer, "union", "left_anti").select("path"), "path", "left_semi")
-    return merged(whole, fewer.withColumnRenamed("union", "path"), "path", "left_semi").union(alone.select("path", "doc", "comp"))
+    return merged(whole, fewer.withColumnRenamed("union", "path"), "path", "left_semi").union(alone)
 
 
-def _against_rest(left: DataFrame, reps: DataFrame, leaf: int) -> DataFrame:
+def _against_rest(left: DataFrame, leaf: int, room: int) -> DataFrame:
     """Of large nodes, all sets outside the largest group (other 1, in chunks) beside every block of all its sets (other 2)."""
-    rows = saved(_united(saved(merged(left, reps.select("doc", "comp"), "doc").select("path", "doc", "comp"))))
-    parts = lambda n: F.ceil(F.col(n) * 2 / leaf)
-    size = _sizes(rows).select("path", "giant", parts("n").alias("blocks"), parts("rest").alias("chunks"))
+    rows = saved(_united(saved(left.select("path", "doc", "comp", "size"))))
+    half = leaf // 2, room // 2
+    size = _sizes(rows).select("path", "giant", _parts("n", "weight", *half).alias("blocks"), _parts("rest", "rest_weight", *half).alias("chunks"))
     rows = merged(rows, size, "path").where("chunks > 0")
     block, chunk = F.pmod(F.xxhash64("doc", "path"), "blocks"), F.pmod(F.xxhash64("path", "doc"), "chunks")
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
