@@ -11,7 +11,7 @@ containment of shingles, as words and not as hashes.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import saved
+from tidewatch.llm.common import merged_on, saved
 
 #: Sketch values that may be sent to every executor (16 bytes each); beyond it the probe is a shuffled join.
 BROADCAST_VALUES = 200_000
@@ -40,8 +40,13 @@ def _strings(k: int) -> Column:
     return F.array_distinct(_shingles(f"concat_ws(' ', {_row(k)})", "concat_ws(' ', w)", "string", k))
 
 
+def _key(documents: DataFrame) -> list[Column]:
+    """A row's name: two independent 64-bit hashes of doc_id and text."""
+    return [F.xxhash64(documents["doc_id"], documents["text"]).alias("key1"), F.xxhash64(F.lit("second"), documents["text"], documents["doc_id"]).alias("key2")]
+
+
 def matches(documents: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Rows (row_key, item_id, n_shared, n_item) for the documents that contain at least `percent` % of an item's shingles."""
+    """Rows (key1, key2, item_id, n_shared, n_item) for the documents that contain at least `percent` % of an item's shingles."""
     items = saved(benchmark.select("item_id", _strings(k).alias("item"), F.array_distinct(_hashes(k)).alias("h"))).where("size(h) > 0")
     size = items.select("item_id", F.size("h").alias("q"), F.explode("h").alias("h"))
     # a partition's largest set has 2 ** ceil(log2 q) shingles
@@ -49,11 +54,11 @@ def matches(documents: DataFrame, benchmark: DataFrame, k: int = 5, percent: int
     place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.xxhash64("h", F.lit(1)), "h"))
     values = saved(size.withColumn("place", place).where(F.col("place") <= sketch).select("h", "item_id").distinct())
     small = values.count() <= BROADCAST_VALUES
-    keyed = documents.select(F.xxhash64("doc_id", "text").alias("row_key"), "text")
-    probe = keyed.select("row_key", F.explode(_hashes(k)).alias("h"))
-    hits = probe.join(F.broadcast(values) if small else values, "h").select("row_key", "item_id").distinct()
+    keyed = documents.select(*_key(documents), "text")
+    probe = keyed.select("key1", "key2", F.explode(_hashes(k)).alias("h"))
+    hits = probe.join(F.broadcast(values) if small else values, "h").select("key1", "key2", "item_id").distinct()
     pairs = saved(hits).join(items.select("item_id", "item"), "item_id")
-    shared = keyed.join(pairs, "row_key").select("row_key", "item_id", F.size(F.array_intersect("item", _strings(k))).cast("long").alias("n_shared"), F.size("item").cast("long").alias("n_item"))
+    shared = keyed.join(pairs, ["key1", "key2"]).select("key1", "key2", "item_id", F.size(F.array_intersect("item", _strings(k))).cast("long").alias("n_shared"), F.size("item").cast("long").alias("n_item"))
     return shared.where(f"100 * n_shared >= {percent} * n_item").distinct()
 
 
@@ -66,7 +71,14 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, k: int = 5, percent
     ids are judged by their text; repeated items count once by item_id; other columns are ignored; empty tables give
     no matches.
     """
-    found = saved(matches(documents, benchmark, k, percent)).groupBy("row_key").agg(F.count_distinct("item_id").alias("n_items"), F.max("n_shared").alias("max_shared"))
-    rows = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key")).join(found, "row_key", "left")
+    found = saved(matches(documents, benchmark, k, percent)).groupBy("key1", "key2").agg(F.count_distinct("item_id").alias("n_items"), F.max("n_shared").alias("max_shared"))
+    rows = documents.select("doc_id", *_key(documents)).join(found, ["key1", "key2"], "left")
     n = F.coalesce("n_items", F.lit(0).cast("long"))
     return rows.select("doc_id", n.alias("n_items"), F.coalesce("max_shared", F.lit(0).cast("long")).alias("max_shared"), (n > 0).alias("contaminated"), (n == 0).alias("kept"))
+
+
+def decontaminated(documents: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of documents that contain no benchmark item, with all their columns; rows are told apart by doc_id and text."""
+    found = saved(matches(documents, benchmark, k, percent)).select(F.col("key1").alias("hit1"), F.col("key2").alias("hit2")).distinct()
+    key1, key2 = _key(documents)
+    return merged_on(documents, found, (key1 == found["hit1"]) & (key2 == found["hit2"]), "left_anti")

@@ -17,8 +17,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidewatch.llm import bytehash as bh
 from tidewatch.llm.common import pieces, small_batches, text_bytes
@@ -218,7 +219,9 @@ class Model:
         return float(np.log1p(sum(x[2] for x in found))), found
 
 
-def _raw(model, with_spans: bool):
+def _raw(model, with_spans: bool, with_text: bool = False):
+    """Adds the evidence to all columns but the text, or to all."""
+
     def run(batches):
         m = model.value
         for b in batches:
@@ -232,8 +235,9 @@ def _raw(model, with_spans: bool):
                     x[i + r], found = m.evidence(score[own])
                     if with_spans:
                         spans[i + r] = [{"first": s, "past": e, "nats": n} for s, e, n in found]
-            cols = [*[b.column(n) for n in b.schema.names if n != "text"], pa.array(x)]
-            names = [*[n for n in b.schema.names if n != "text"], "evidence"]
+            own = [i for i, n in enumerate(b.schema.names) if with_text or n != "text"]
+            cols = [*[b.column(i) for i in own], pa.array(x)]
+            names = [*[b.schema.names[i] for i in own], "evidence"]
             if with_spans:
                 cols.append(pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64()), ("nats", pa.float64())]))))
                 names.append("passages")
@@ -285,6 +289,21 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float = 10.0, drift: flo
     return model
 
 
+def _score(model: Model, evidence: Column) -> Column:
+    a, b = model.curve
+    return 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * evidence)))
+
+
+def without_toxic(documents: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of documents that toxicity() doesn't predict to be toxic, with all their columns, in one pass."""
+    spark = documents.sparkSession
+    small_batches(spark)
+    names = [f"c{i}" if n != "text" else n for i, n in enumerate(documents.columns)]  # no clash with the new column
+    rows = documents.toDF(*names)
+    scored = rows.mapInArrow(_raw(spark.sparkContext.broadcast(model), False, True), StructType([*rows.schema.fields, StructField("evidence", DoubleType())]))
+    return scored.where(_score(model, F.col("evidence")) < threshold).select(*names).toDF(*documents.columns)
+
+
 def toxicity(documents: DataFrame, model: Model, threshold: float = 0.3, with_spans: bool = False) -> DataFrame:
     """One row for each row of documents (doc_id, text): doc_id, score in 0 to 1, predicted (1 from `threshold` on), and with_spans the significant passages as token ranges.
 
@@ -296,7 +315,5 @@ def toxicity(documents: DataFrame, model: Model, threshold: float = 0.3, with_sp
     sent = spark.sparkContext.broadcast(model)
     extra = ", passages array<struct<first: long, past: long, nats: double>>" if with_spans else ""
     out = documents.select("doc_id", "text").mapInArrow(_raw(sent, with_spans), f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, evidence double{extra}")
-    a, b = model.curve
-    score = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("evidence"))))
-    out = out.withColumn("score", score).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    out = out.withColumn("score", _score(model, F.col("evidence"))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     return out.select("doc_id", "score", "predicted", *["passages"] * with_spans)
