@@ -1,8 +1,9 @@
 """The corpus pipeline: five operators over documents, each on all that its predecessor kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. run()
-writes each stage as Parquet in the shared folder and reads it again for the next one. Null doc_ids go through: rows are
-matched with decisions by doc_id and text.
+writes each stage as Parquet in the shared folder and reads it again for the next one. A decision is about a row: rows
+that share a doc_id, or have none, are told apart by their texts. Of near-duplicate groups, which are of documents, a
+row without a doc_id is none and stays, and rows that share a doc_id go or stay together. Empty tables go through.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,31 +13,25 @@ from tidewatch.llm import decontaminate, exact_dedup, mixing, near_dedup, toxici
 from tidewatch.llm.common import saved
 
 
-def _kept(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the doc_ids in gone; a null doc_id stays."""
-    gone = gone.where("doc_id is not null").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
-
-
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic documents go. The model is learnt from the labelled rows of docs that aren't held out."""
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _kept(docs, toxicity.toxicity(docs, model).where("predicted = 1"))
+    return toxicity.without_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
-    return _kept(docs, exact_dedup.exact_duplicates(docs).where("not kept"))
+    return exact_dedup.deduplicated(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate group (five words, similarity 0.8) the smallest doc_id stays."""
-    return _kept(docs, near_dedup.near_duplicates(docs, k=5).where("not kept"))
+    gone = near_dedup.near_duplicates(docs, k=5).where("doc_id is not null and not kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
-    return _kept(docs, decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated"))
+    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
