@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quotes, repeats, toxicity, url_filter, warc
-from tidewatch.llm.common import saved
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,9 +30,7 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the whole result, texts and all, is shuffled and written; what is compared with SQL is its order
-    whole = saved(mixing.mixed(spark.read.parquet(f"{sf_dir}/documents.parquet")))
-    return whole.select("doc_id", "source", "copy", "shuffle_key").orderBy("shuffle_key", "doc_id", "copy")
+    return mixing.mixed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +60,10 @@ term AS (SELECT source, parts, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS p
     FROM (SELECT source, parts, mean, unnest(range(0, ceil(mean + 12 * sqrt(mean))::BIGINT + 21)) AS k FROM rate)),
 part AS (SELECT source, parts, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM term),
 cdf AS (SELECT source, parts, list(c ORDER BY k) AS cdf FROM part GROUP BY source, parts),
-who AS (SELECT doc_id, source, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS who FROM documents),
-draw AS (SELECT who.doc_id, who.source, who, unnest(range(1, parts + 1)) AS j, cdf FROM who JOIN cdf ON who.source IS NOT DISTINCT FROM cdf.source),
-times AS (SELECT doc_id, source, who, sum(len(list_filter(cdf, lambda c: c <= (('0x' || substr(md5(who || '#42#' || j), 1, 13))::BIGINT / 4503599627370496.0)))) AS n
-    FROM draw GROUP BY doc_id, source, who)
-SELECT doc_id, source, copy::INT AS copy, md5(who || '#' || copy || '#order42') AS shuffle_key
+who AS (SELECT *, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS who FROM documents),
+times AS (SELECT who.*, list_sum(list_transform(range(1, parts + 1), lambda j: len(list_filter(cdf, lambda c: c <= (('0x' || substr(md5(who || '#42#' || j), 1, 13))::BIGINT / 4503599627370496.0))))) AS n
+    FROM who JOIN cdf ON who.source IS NOT DISTINCT FROM cdf.source)
+SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy, md5(who || '#' || copy || '#order42') AS shuffle_key
 FROM (SELECT *, unnest(range(1, n::BIGINT + 1)) AS copy FROM times)""",
     "op7_decontamination": r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
