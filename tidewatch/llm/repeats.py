@@ -3,12 +3,12 @@
 A byte goes when a string of `length` bytes that covers it also starts elsewhere. Only suffixes that can have such a
 twin are sorted. Every window of `length` bytes names an anchor in itself, the k-gram with the least hash; windows in
 a row with one anchor make a run. Equal windows have equal anchors at equal offsets, so a run whose anchor is met
-nowhere else has no repeated window, and a run met again whole (two independent prefix hashes of all its bytes and the
+nowhere else has no repeated window, and a run met again whole (the same BLAKE2b digest of all its bytes and the
 same offsets) is repeated throughout. What remains, mostly runs at the ends of repeats, is gathered by anchor as one
 run of each class, and the suffixes at its windows are sorted: by their first eight bytes, then by a merge sort that
 compares two suffixes through prefix polynomial hashes, with a binary search for their common extension. Neighbours
 in that order that agree over `length` bytes are compared byte by byte before they count. Anchors with more than
-`crowd` different runs aren't gathered: their windows are counted by two independent prefix hashes in an aggregate.
+`crowd` different runs aren't gathered: their windows are counted by BLAKE2b digests of their bytes in an aggregate.
 """
 
 import hashlib
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import bytehash as bh
-from tidewatch.llm.common import pieces, saved, small_batches, text_bytes
+from tidewatch.llm.common import merged, pieces, saved, small_batches, text_bytes
 from tidewatch.llm.near_dedup import packed, unpacked
 
 U = np.uint64
@@ -40,10 +40,17 @@ def _running_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[w - 1 : w - 1 + n])
 
 
-def _runs_of(data: np.ndarray, off: np.ndarray, length: int):
-    """Runs of windows with one anchor in the texts of a piece: row, start in the row, hashes, offsets of the anchor."""
+def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of 128-bit BLAKE2b digests of the byte strings [start, end)."""
+    view = memoryview(np.ascontiguousarray(data))
+    both = b"".join([hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+    return tuple(np.frombuffer(both, np.int64).reshape(-1, 2).T)
+
+
+def _runs_of(data: np.ndarray, off: np.ndarray, length: int, whole: bool):
+    """Runs of windows with one anchor in the texts of a piece: the anchor's hash, and if whole the digest, row, start in the row, and offsets of the anchor."""
     w = length - GRAM + 1
-    p, p2 = bh.prefix(data), bh.prefix(data, 1)
+    p = bh.prefix(data)
     at = np.arange(len(data) - GRAM + 1)
     gram = bh.mix(bh.span(p, at, at + GRAM))
     # the upper bits of the hash order the grams, the place parts equal ones: the first one counts
@@ -57,12 +64,14 @@ def _runs_of(data: np.ndarray, off: np.ndarray, length: int):
     first = np.flatnonzero(np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(row) != 0)]))
     last = np.concatenate([first[1:], [len(s)]]) - 1
     lo, hi, a, row = s[first], s[last], anchor[first], row[first]
-    most, least = a - lo, a - hi
-    offsets = (most * 65536 + least).astype(U)
-    return row, lo - off[row], gram[a], bh.mix(bh.span(p, lo, hi + length) + bh.mix(offsets)), bh.mix(bh.span(p2, lo, hi + length, 1) ^ offsets), most, least
+    if not whole:
+        return (gram[a].view(np.int64),)
+    return gram[a].view(np.int64), *digests(data, lo, hi + length), row, lo - off[row], ((a - lo) * 65536 + a - hi).astype(np.int32)
+
 
+def _runs(length: int, whole: bool):
+    """Runs of all texts; unless whole, only their anchors."""
 
-def _runs(length: int):
     def parts(off):
         for i, j in pieces(off):
             size = off[j] - off[i]
@@ -79,17 +88,21 @@ def _runs(length: int):
             out = []
             with np.errstate(over="ignore"):
                 for i, start, end, own in parts(off):
-                    if end - start >= length and (found := _runs_of(data[start:end], own, length)):
-                        row, lo, *rest = found
-                        out.append((row + i, lo + (start - off[i] if len(own) == 2 else 0), *rest))
+                    if end - start >= length and (found := _runs_of(data[start:end], own, length, whole)):
+                        if whole:
+                            found[3][:] += i
+                            found[4][:] += start - off[i] if len(own) == 2 else 0
+                        out.append(found)
             if not out:
                 continue
-            row, lo, g, h1, h2, most, least = (np.concatenate(x) for x in zip(*out, strict=True))
+            g, *rest = (np.concatenate(x) for x in zip(*out, strict=True))
+            if not whole:
+                yield pa.RecordBatch.from_arrays([pa.array(g)], names=["g"])
+                continue
+            h1, h2, row, lo, offsets = rest
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(g.view(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), b.column("doc").take(take), b.column("mark").take(take), pa.array(lo.astype(np.int64)), pa.array((most * 65536 + least).astype(np.int32))],
-                names=["g", "h1", "h2", "doc", "mark", "lo", "offsets"],
-            )
+            cols = [pa.array(g), pa.array(h1), pa.array(h2), b.column("doc").take(take), b.column("mark").take(take), pa.array(lo.astype(np.int64)), pa.array(offsets)]
+            yield pa.RecordBatch.from_arrays(cols, names=["g", "h1", "h2", "doc", "mark", "lo", "offsets"])
 
     return run
 
@@ -190,7 +203,7 @@ def _stretches(rows: list[tuple], counts: list[int], twin: np.ndarray):
     right = np.flatnonzero(flag & np.concatenate([~flag[1:] | (own[1:] != own[:-1]), [True]]))
     r = [rows[i] for i in own[left]]
     lo = np.array([x[2] for x in r], np.int64)
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in r], pa.int64()), pa.array([x[1] for x in r], pa.int32()), pa.array(lo + at[left]), pa.array(lo + at[right])], names=["doc", "mark", "lo", "hi"])
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in r], pa.int64()), pa.array([x[1] for x in r], pa.int64()), pa.array(lo + at[left]), pa.array(lo + at[right])], names=["doc", "mark", "lo", "hi"])
 
 
 def _resolve(length: int):
@@ -235,28 +248,26 @@ def _bodies(length: int):
                     end = x["lo"] + (x["offsets"] >> 16) - (x["offsets"] & 0xFFFF) + length
                     for o, v in zip(out, (x["g"], doc, mark, x["lo"], x["offsets"], x["known"], x["crowded"], raw[x["lo"] : end]), strict=True):
                         o.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=True)], names=["g", "doc", "mark", "lo", "offsets", "known", "crowded", "body"])
 
     return run
 
 
 def _windows(length: int):
-    """A row of two hashes for each window of the bodies."""
+    """A row with the digest of each window of the bodies."""
 
     def run(batches):
         for b in batches:
             out = []
-            with np.errstate(over="ignore"):
-                for i, (body, lo, offsets) in enumerate(zip(b.column("body").to_pylist(), b.column("lo").to_pylist(), b.column("offsets").to_pylist(), strict=True)):
-                    data = np.frombuffer(body, np.uint8)
-                    s = np.arange((offsets >> 16) - (offsets & 0xFFFF) + 1)
-                    out.append((np.full(len(s), i), s + lo, bh.mix(bh.span(bh.prefix(data), s, s + length)), bh.mix(bh.span(bh.prefix(data, 1), s, s + length, 1))))
+            for i, (body, lo, offsets) in enumerate(zip(b.column("body").to_pylist(), b.column("lo").to_pylist(), b.column("offsets").to_pylist(), strict=True)):
+                s = np.arange((offsets >> 16) - (offsets & 0xFFFF) + 1)
+                out.append((np.full(len(s), i), s + lo, *digests(np.frombuffer(body, np.uint8), s, s + length)))
             if not out:
                 continue
             i, s, w1, w2 = (np.concatenate(x) for x in zip(*out, strict=True))
             take = pa.array(i)
-            yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), b.column("doc").take(take), b.column("mark").take(take), pa.array(s), b.column("known").take(take)], names=["w1", "w2", "doc", "mark", "lo", "known"])
+            yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), b.column("doc").take(take), b.column("mark").take(take), pa.array(s), b.column("known").take(take)], names=["w1", "w2", "doc", "mark", "lo", "known"])
 
     return run
 
@@ -303,15 +314,17 @@ def cut_repeats(documents: DataFrame, length: int = 200, crowd: int = 4096, with
     """
     spark = documents.sparkSession
     small_batches(spark)
-    # rows are told apart by doc_id and a hash of the text
-    docs = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("doc"), F.hash("text").alias("mark"), "text")
-    runs = docs.select("doc", "mark", "text").mapInArrow(_runs(length), "g long, h1 long, h2 long, doc long, mark int, lo long, offsets int")
-    again = runs.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    runs = saved(runs.join(again, "g"))
-    classes = saved(runs.groupBy("g", "h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc", "mark", "lo", "offsets")).alias("x")))
-    whole = runs.join(classes.where("n > 1").select("g", "h1", "h2"), ["g", "h1", "h2"]).select("doc", "mark", "lo", (F.col("lo") + F.shiftright("offsets", 16) - F.col("offsets").bitwiseAND(0xFFFF)).alias("hi"))
+    # rows are told apart by doc_id and a hash of the text, those without a doc_id by two
+    docs = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("second"), "text")).alias("doc"), F.xxhash64("text").alias("mark"), "text")
+    anchors = docs.select("text").mapInArrow(_runs(length, False), "g long")
+    again = saved(anchors.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"))
+    runs = docs.select("doc", "mark", "text").mapInArrow(_runs(length, True), "g long, h1 long, h2 long, doc long, mark long, lo long, offsets int")
+    runs = saved(merged(runs, again, "g"))
+    key = ["g", "h1", "h2", "offsets"]
+    classes = saved(runs.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("doc", "mark", "lo")).alias("x")))
+    whole = merged(runs, classes.where("n > 1").select(*key), key).select("doc", "mark", "lo", (F.col("lo") + F.shiftright("offsets", 16) - F.col("offsets").bitwiseAND(0xFFFF)).alias("hi"))
     mixed = classes.groupBy("g").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
-    wanted = classes.join(mixed, "g").select("g", "x.*", (F.col("n") > 1).alias("known"), (F.col("kinds") > crowd).alias("crowded"))
+    wanted = merged(classes, mixed, "g").select("g", "offsets", "x.*", (F.col("n") > 1).alias("known"), (F.col("kinds") > crowd).alias("crowded"))
     wanted = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("g", "lo", "offsets", "known", "crowded")).alias("wanted"))
 
     def compressed(batches):
@@ -319,12 +332,12 @@ def cut_repeats(documents: DataFrame, length: int = 200, crowd: int = 4096, with
             z = next(packed(iter([pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text")], names=["doc_id", "text"])])))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("doc"), b.column("mark"), z.column("z")], names=["doc_id", "doc", "mark", "z"])
 
-    small = docs.mapInArrow(compressed, "doc_id long, doc long, mark int, z binary")
-    bodies = saved(small.join(wanted, ["doc", "mark"]).mapInArrow(_bodies(length), "g long, doc long, mark int, lo long, offsets int, known boolean, crowded boolean, body binary"))
-    sorted_ = bodies.where("not crowded").repartition("g").sortWithinPartitions("g").mapInArrow(_resolve(length), "doc long, mark int, lo long, hi long")
-    windows = bodies.where("crowded").mapInArrow(_windows(length), "w1 long, w2 long, doc long, mark int, lo long, known boolean")
+    small = docs.mapInArrow(compressed, "doc_id long, doc long, mark long, z binary")
+    bodies = saved(small.join(wanted, ["doc", "mark"]).mapInArrow(_bodies(length), "g long, doc long, mark long, lo long, offsets int, known boolean, crowded boolean, body binary"))
+    sorted_ = bodies.where("not crowded").repartition("g").sortWithinPartitions("g").mapInArrow(_resolve(length), "doc long, mark long, lo long, hi long")
+    windows = bodies.where("crowded").mapInArrow(_windows(length), "w1 long, w2 long, doc long, mark long, lo long, known boolean")
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
     counted = windows.where("not known").join(twice, ["w1", "w2"]).select("doc", "mark", "lo", F.col("lo").alias("hi"))
-    spans = whole.union(sorted_).union(counted).groupBy("doc", "mark").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = whole.union(sorted_).union(counted).groupBy("doc", "mark").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_text
     return small.join(spans, ["doc", "mark"], "left").mapInArrow(_cut(length, with_text), schema)
