@@ -40,7 +40,8 @@ VIEWS = {
     "slick_to_aoi": "SELECT p.id AS slick, a.id AS aoi, a.type, a.name FROM place p JOIN aoi a ON p.lon >= a.minx AND p.lon < a.maxx AND p.lat >= a.miny AND p.lat < a.maxy",
     "ping": """SELECT user_id AS ssvid, ts, event_id AS id, 10e0 + (user_id % 20) / 10e0 + (event_id % 977) / 10000e0 AS lon, 40e0 + (user_id % 15) / 10e0 + (event_id % 787) / 10000e0 AS lat,
         value % 30 AS speed, event_id * 36 % 360 * 1e0 AS course, event_type AS kind, value FROM events""",
-    "not_oil": "SELECT id FROM cls WHERE id = 1 OR supercls = 1",
+    # a class and all below it; the only view that recurses
+    "not_oil": "SELECT id FROM cls WHERE id = 1 UNION ALL SELECT c.id FROM cls c JOIN not_oil ON c.supercls = not_oil.id",
     "slick_base": "SELECT s.*, power(s.length, 2) / s.area / (4 * pi() * s.area / power(s.perimeter, 2)) AS linearity FROM slick s LEFT ANTI JOIN not_oil n ON s.cls = n.id WHERE s.active",
     "latest_review": "SELECT slick, cls, ts FROM (SELECT *, row_number() OVER (PARTITION BY slick ORDER BY ts DESC, id DESC, reviewer DESC) AS rn FROM review) AS r WHERE rn = 1",
     "slick_plus": """SELECT b.id, b.ts, b.area, b.cls, b.run, sc.scene_id, b.linearity, r.cls AS hitl_cls, c.short_name AS hitl_name, a.eez, a.iho, a.mpa, x.vessels, x.infra, x.dark, x.max_score,
@@ -55,6 +56,14 @@ VIEWS = {
     "truth": "SELECT slick, source, type, score, coalesce(hitl, false) AS truth FROM score",
 }
 
+#: What stands for a view in Spark: the same rows by an equi-join on grid cells, and by an anti join in place of NOT IN.
+SPARK_VIEWS = {
+    "slick_to_aoi": """SELECT p.id AS slick, a.id AS aoi, a.type, a.name FROM (SELECT *, floor(lon / 20e0) AS gx, floor(lat / 10e0) AS gy FROM place) p
+        JOIN (SELECT *, explode(sequence(floor(miny / 10e0), floor(maxy / 10e0))) AS gy FROM (SELECT *, explode(sequence(floor(minx / 20e0), floor(maxx / 20e0))) AS gx FROM aoi)) a
+        ON p.gx = a.gx AND p.gy = a.gy WHERE p.lon >= a.minx AND p.lon < a.maxx AND p.lat >= a.miny AND p.lat < a.maxy""",
+    "slick_plus": VIEWS["slick_plus"].replace("WHERE r.cls IS NULL OR r.cls NOT IN (SELECT id FROM not_oil)", "LEFT ANTI JOIN not_oil o ON r.cls = o.id"),
+}
+
 # Columns that the table functions over slick_plus give out.
 FUNCTION_COLUMNS = "id, ts, area, scene_id, linearity, hitl_cls, hitl_name, eez, iho, mpa, vessels, infra, dark, max_score, url"
 _HAVERSINE = "2 * 6371008.8e0 * asin(sqrt(least(1e0, power(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * power(sin(radians({b}.lon - {a}.lon) / 2), 2))))"
@@ -66,13 +75,12 @@ _STEPS = """SELECT *, lead(ts) OVER w AS t1, lead(lon) OVER w AS lon1, lead(lat)
 
 #: name: (operator ids and what it does, SQL).
 QUERIES: dict[str, tuple[str, str]] = {
-    "repeat_source": ("Q3 A1 J4 J5 W1 F2-F4: sources over several runs, with the fan-out of tags and reviews before the sum", """
-        SELECT source_id, ext_id, type, run_count, total_area, row_number() OVER (ORDER BY run_count DESC, total_area DESC, source_id) AS global_rank FROM (
-          SELECT so.id AS source_id, so.ext_id, so.type, count(DISTINCT s.run) AS run_count, round(sum(s.area), 2) / 1e6 AS total_area
-          FROM link l JOIN source so ON l.source = so.id JOIN slick s ON l.slick = s.id LEFT JOIN tag t ON t.ext_id = so.ext_id AND t.type = so.type LEFT JOIN review h ON h.slick = s.id
-          WHERE s.active AND l.active AND (l.hitl IS NULL OR l.hitl) AND s.cls NOT IN (SELECT id FROM not_oil) AND (h.cls IS NULL OR h.cls NOT IN (SELECT id FROM not_oil))
-            AND ((so.type = 2 AND l.link_rank = 1) OR (so.type = 1 AND (l.hitl OR l.score > 0) AND (t.tag IS NULL OR t.tag NOT IN (5, 6, 7))) OR so.type = 3) AND (t.tag IS NULL OR t.tag <> 12)
-          GROUP BY so.id, so.ext_id, so.type HAVING count(DISTINCT s.run) > 1) AS x"""),
+    "repeat_source": ("Q3 A1 J4 J5 W1 F2-F4: sources by runs, with the fan-out of tags and reviews before the sum", """
+        WITH tagged AS (SELECT l.slick, l.link_rank, l.hitl, l.score, so.id AS source_id, so.ext_id, so.type, t.tag FROM link l, source so LEFT JOIN tag t ON t.ext_id = so.ext_id AND t.type = so.type WHERE l.source = so.id AND l.active AND coalesce(l.hitl, true)),
+        counted AS (SELECT * FROM tagged WHERE coalesce(tag, 0) <> 12 AND type = 2 AND link_rank = 1 UNION ALL SELECT * FROM tagged WHERE coalesce(tag, 0) NOT IN (5, 6, 7, 12) AND type = 1 AND (coalesce(hitl, false) OR score > 0)),
+        seen AS (SELECT s.id, s.run, s.area FROM slick s LEFT JOIN review h ON h.slick = s.id WHERE s.active AND s.cls NOT IN (SELECT id FROM not_oil) AND coalesce(h.cls, 0) NOT IN (SELECT id FROM not_oil)),
+        agg AS (SELECT source_id, ext_id, type, count(DISTINCT run) AS run_count, round(sum(area), 2) / 1e6 AS total_area FROM counted JOIN seen ON seen.id = counted.slick GROUP BY source_id, ext_id, type)
+        SELECT *, row_number() OVER (ORDER BY run_count DESC, total_area DESC, source_id) AS global_rank FROM agg"""),
     "repeat_source_dedup": ("T1: the same without fan-out, each detection counted once", """
         SELECT source_id, type, count(DISTINCT run) AS run_count, round(sum(area), 2) / 1e6 AS total_area FROM (
           SELECT DISTINCT so.id AS source_id, so.type, s.id, s.run, s.area FROM link l JOIN source so ON l.source = so.id JOIN slick s ON l.slick = s.id
@@ -91,7 +99,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "latest_review": ("J2 W8: the newest review of each detection", "SELECT slick, cls, ts FROM latest_review"),
     "not_oil_exclusion": ("F2 J22: anti join with a class subtree", "SELECT s.id, s.cls FROM slick s LEFT ANTI JOIN not_oil n ON s.cls = n.id WHERE s.active"),
     "slicks_of_scene": ("J23: detections of scenes above a confidence", "SELECT DISTINCT s.id, s.confidence FROM slick s JOIN run ON s.run = run.id JOIN scene sc ON run.scene = sc.id WHERE sc.id IN (3, 4) AND s.active AND s.confidence > 0.2e0 AND NOT EXISTS (SELECT 1 FROM not_oil n WHERE n.id = s.cls)"),
-    "stale_deactivation": ("T6s: only detections of a scene's last run stay active", "SELECT s.id, s.active AND s.run = m.run AS active FROM slick s JOIN run r ON s.run = r.id JOIN (SELECT r2.scene, max(s2.run) AS run FROM slick s2 JOIN run r2 ON s2.run = r2.id GROUP BY r2.scene) m ON m.scene = r.scene"),
+    "stale_deactivation": ("T6s: all active detections of scenes that run again become inactive", "SELECT id, active AND run NOT IN (SELECT id FROM run WHERE scene % 4 = 1) AS active FROM slick"),
     "deactivate_by_type": ("J25 J17: links of some source types become inactive", "SELECT l.slick, l.source, l.link_rank, l.active AND NOT coalesce(s.type IN (1, 3), false) AS active FROM link l LEFT JOIN source s ON s.id = l.source"),
     "retained_scores": ("J24: active links of types that don't run again", "SELECT l.slick, l.source, t.name AS type_name, round(max(l.score), 8) AS score FROM link l JOIN source s ON l.source = s.id JOIN source_type t ON t.id = s.type WHERE l.active AND t.name NOT IN ('VESSEL') GROUP BY l.slick, l.source, t.name"),
     "rerank_top8": ("V11 W3 W6 O3 T12: kept and fresh scores ranked together, the first eight active", """
@@ -118,11 +126,11 @@ QUERIES: dict[str, tuple[str, str]] = {
     "utm_zone": ("P10: projection zone and hemisphere of a point", "SELECT id, CAST(floor((lon + 180) / 6) AS INT) + 1 AS zone, CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + CAST(floor((lon + 180) / 6) AS INT) + 1 AS epsg FROM place"),
     "web_mercator": ("P10: forward spherical Mercator", "SELECT id, round(6378137e0 * radians(lon), 4) AS x, round(6378137e0 * ln(tan(pi() / 4 + radians(lat) / 2)), 4) + 0e0 AS y FROM place"),
     "aoi_membership": ("J8: detections in areas, by grid cell and exact test", "SELECT slick, aoi, type FROM slick_to_aoi"),
-    "haversine_band_anti": ("J7 S3 F17: detections without a fixed structure within 100 m, by neighbouring grid cells", f"""
-        SELECT a.id, a.length_m FROM ({_DETECTIONS}) AS a LEFT ANTI JOIN (
-          SELECT a.id FROM (SELECT id, lon, lat, CAST(floor(lon / 0.002e0) AS BIGINT) AS cx, CAST(floor(lat / 0.002e0) AS BIGINT) AS cy FROM ({_DETECTIONS}) AS d) AS a
-          JOIN (SELECT id, lon, lat, CAST(floor(lon / 0.002e0) AS BIGINT) + dx AS cx, CAST(floor(lat / 0.002e0) AS BIGINT) + dy AS cy FROM ({_SITES}) AS s, ({_CELLS}) AS c) AS b
-          ON a.cx = b.cx AND a.cy = b.cy WHERE abs(a.lat - b.lat) < 0.001e0 AND abs(a.lon - b.lon) < 0.0015e0 AND {_NEAR} < 100) AS n ON a.id = n.id WHERE a.length_m > 30"""),
+    "haversine_band_anti": ("J7 S3 F17 W2: unmatched detections without a structure within 100 m; of a structure's positions near any of them the most confident counts", f"""
+        WITH d AS (SELECT c_custkey AS id, 5 + (c_custkey * 6007 % 10007) / 200140 AS lon, 50 + (c_custkey * 7001 % 10009) / 200180 AS lat, c_acctbal AS length_m, 1 - c_custkey % 9 / 500 AS presence FROM customer WHERE c_custkey % 13 < 10),
+        s AS (SELECT s_suppkey // 2 AS structure, 5 + (s_suppkey * 7919 % 1000) / 20000 AS lon, 50 + (s_suppkey * 104729 % 1000) / 20000 AS lat, s_suppkey % 7 AS confidence FROM supplier),
+        u AS (SELECT *, row_number() OVER (PARTITION BY structure ORDER BY confidence DESC, lon, lat) AS rn FROM (SELECT DISTINCT s.* FROM s JOIN d ON abs(s.lat - d.lat) < 0.001 AND abs(s.lon - d.lon) < 0.001) AS n)
+        SELECT a.id, a.length_m FROM d a WHERE a.length_m > 30 AND a.presence > 0.99 AND NOT EXISTS (SELECT 1 FROM u b WHERE b.rn = 1 AND {_NEAR} < 100)"""),
     "radius_neighbours": ("J12 J13: structures within 2 km of each detection, by neighbouring grid cells", f"""
         SELECT a.id AS detection, b.id AS site, round({_NEAR}, 3) AS metres FROM (SELECT id, lon, lat, CAST(floor(lon / 0.04e0) AS BIGINT) AS cx, CAST(floor(lat / 0.04e0) AS BIGINT) AS cy FROM ({_DETECTIONS}) AS d) AS a
           JOIN (SELECT id, lon, lat, CAST(floor(lon / 0.04e0) AS BIGINT) + dx AS cx, CAST(floor(lat / 0.04e0) AS BIGINT) + dy AS cy FROM ({_SITES}) AS s, ({_CELLS}) AS c) AS b
@@ -130,15 +138,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "vessel_extent": ("A5 W8: extent, top speed, first and last position of each vessel", "SELECT ssvid, min(lon) AS minx, max(lon) AS maxx, min(lat) AS miny, max(lat) AS maxy, max(speed) AS top_speed, min(ts) AS first_ts, max(ts) AS last_ts, min_by(lon, ts) AS first_lon, max_by(lon, ts) AS last_lon FROM ping GROUP BY ssvid"),
     "reach_prefilter": ("J14: vessels that can have reached a box", "SELECT ssvid FROM (SELECT ssvid, min(lon) AS minx, max(lon) AS maxx, min(lat) AS miny, max(lat) AS maxy, max(speed) * 0.514444444e0 * 3600 / 111320e0 AS reach FROM ping GROUP BY ssvid) AS v WHERE (maxx >= 10.5e0 AND minx <= 10.9e0 AND maxy >= 40.2e0 AND miny <= 40.6e0) OR (maxx + reach >= 10.5e0 AND minx - reach <= 10.9e0 AND maxy + reach >= 40.2e0 AND miny - reach <= 40.6e0)"),
     "segment_velocity": ("W7 V1: speed along each leg, zero for equal times", f"SELECT ssvid, id, CASE WHEN $epoch(t1) - $epoch(ts) = 0 THEN 0e0 ELSE round((lon1 - lon) * 111320e0 / ($epoch(t1) - $epoch(ts)), 8) END AS vx FROM ({_STEPS}) AS s WHERE t1 IS NOT NULL"),
-    "bezier_positions": ("V1 in part: positions at three fractions of each leg, without extrapolation, on a cubic Bezier curve through its velocities", f"""
-        SELECT ssvid, id, f.f AS fraction, round(power(1 - f.f, 3) * lon + 3 * power(1 - f.f, 2) * f.f * (lon + vx0 * dt / 3) + 3 * (1 - f.f) * power(f.f, 2) * (lon1 - vx1 * dt / 3) + power(f.f, 3) * lon1, 6) AS x FROM (
-          SELECT ssvid, id, lon, lon1, $epoch(t1) - $epoch(ts) AS dt, speed * 0.514444444e0 * sin(radians(course)) / 111320e0 / 1000 AS vx0, speed1 * 0.514444444e0 * sin(radians(course1)) / 111320e0 / 1000 AS vx1 FROM ({_STEPS}) AS s WHERE t1 IS NOT NULL) AS l,
-          (VALUES (0.25e0), (0.5e0), (0.75e0)) AS f(f)"""),
     "closest_ping": ("J20: the position nearest in time to each image", "SELECT ssvid, min_by(id, struct_key) AS id FROM (SELECT ssvid, id, abs($epoch(ts) - $epoch(CAST('2024-01-15 06:00:00' AS TIMESTAMP))) * 1e6 + id / 1e6 AS struct_key FROM ping) AS p GROUP BY ssvid"),
-    "vessel_scores": ("V4-V8: temporal, proximity and parity scores and their weighted mean", """
-        SELECT id, round(temporal, 8) AS temporal, round(proximity, 8) AS proximity, round(parity, 8) AS parity, round((temporal + 2 * proximity + parity) / 4, 8) AS total FROM (
-          SELECT id, exp(-power(dt / (CASE WHEN dt > 0 THEN 600e0 ELSE 10000e0 END), 2)) AS temporal, exp(-power(d / greatest(3000 * abs(dt) / 3600, 500e0), 5)) AS proximity, CASE WHEN traj <= 0 OR cl <= 0 THEN 0e0 ELSE exp(-5.77e0 * power(ln(cl / traj), 2)) END AS parity
-          FROM (SELECT id, (id % 4001) * 5e0 - 10000 AS dt, value * 20 AS d, 1000 + speed * 100 AS cl, 800 + course * 5 AS traj FROM ping) AS a) AS b"""),
     "point_scores": ("V9: weighted decay of angle and distance, the best for each point", "SELECT site, round(max(least(1e0, greatest(0e0, w * exp(-theta * 6.4e0) * exp(-d / 19200e0)))), 8) AS score FROM (SELECT CAST(part % 500 AS INT) AS site, (1 + disc) / 1.1e0 AS w, (qty % 10) / 10e0 AS theta, price AS d FROM link) AS x GROUP BY site"),
     "collated": ("V10: score by the mean and deviation of its source type", "SELECT s.slick, s.source, round((s.score - c.mu) / c.sd, 8) AS collated FROM score s JOIN type_moments c ON c.type = s.type"),
     "cumulative_share_80": ("W5: the longest parts that make up 80 %", "SELECT slick, part, link_rank FROM (SELECT slick, part, link_rank, sum(qty) OVER (PARTITION BY slick ORDER BY qty DESC, part, link_rank, price ROWS UNBOUNDED PRECEDING) - qty AS before, sum(qty) OVER (PARTITION BY slick) AS total FROM link) AS x WHERE before < 0.8e0 * total"),
@@ -150,7 +150,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "edge_discard": ("R3: instances (as boxes) go whose area lies in the no-data margin by more than half", "SELECT id, round(share, 8) AS margin_share FROM (SELECT id, least(1e0, greatest(0e0, (lat + h / 2 - 40e0) / h)) AS share FROM (SELECT id, lat, 1e0 + id % 5 AS h FROM place) AS b) AS s WHERE share <= 0.5e0"),
     "arf": ("A9 F7: aspect ratio factor, length-weighted, and its gate", "SELECT slick, round(1 - exp((1 - x) / 16), 8) AS arf, 1 - exp((1 - x) / 16) <= 0.35e0 AS skip_vessels FROM (SELECT slick, sum(qty * qty * qty / (price / 1000)) / sum(qty) AS x FROM link GROUP BY slick) AS a"),
     "weighted_average": ("A7 A8: weighted mean with a fallback", "SELECT source, round(coalesce(sum(qty * score) / nullif(sum(qty), 0), avg(score)), 8) AS weighted, round(max(score), 8) AS best FROM link GROUP BY source"),
-    "group_rollup": ("A6: median, mode, mean and maximum of a group", "SELECT source, round($median(price), 6) AS med, round(avg(qty), 8) AS mean_qty, max(price) AS top FROM link GROUP BY source"),
+    "group_rollup": ("A6: median, mode, mean and maximum of a group", "SELECT l_suppkey AS source, round(quantile_cont(l_extendedprice, 0.5), 6) AS med, (SELECT min(m) FROM (SELECT k.l_linenumber AS m, count(*) AS n, max(count(*)) OVER () AS top FROM lineitem k WHERE k.l_suppkey = l.l_suppkey GROUP BY k.l_linenumber) AS x WHERE n = top) AS mode_rank, round(avg(l_quantity), 8) AS mean_qty, max(l_extendedprice) AS top FROM lineitem l GROUP BY l_suppkey"),
     "eval_metrics": ("A18 A19 N9: top-1 and top-3 rate, mean true and false score", """
         SELECT type, round(avg(CASE WHEN r = 1 THEN 1e0 ELSE 0e0 END), 8) AS top1, round(avg(CASE WHEN r <= 3 THEN 1e0 ELSE 0e0 END), 8) AS top3, round(avg(score), 8) AS true_score, round(avg(false_best), 8) AS false_score, count(*) AS n FROM (
           SELECT type, score, truth, row_number() OVER (PARTITION BY slick ORDER BY score DESC, source, truth) AS r, max(CASE WHEN NOT truth THEN score ELSE 0e0 END) OVER (PARTITION BY slick) AS false_best FROM truth) AS x WHERE truth GROUP BY type"""),
@@ -162,7 +162,6 @@ QUERIES: dict[str, tuple[str, str]] = {
     "optimizer_grid": ("N4: share of detections whose truth comes first, over a grid", """
         SELECT mu, round(sum(CASE WHEN truth THEN 1e0 ELSE 0e0 END) / count(*), 8) AS share FROM (SELECT g.mu, truth, row_number() OVER (PARTITION BY g.mu, slick ORDER BY (CASE WHEN type = 2 THEN score - g.mu ELSE score END) DESC, source, truth) AS r, max(CASE WHEN truth THEN 1 ELSE 0 END) OVER (PARTITION BY g.mu, slick) AS has
           FROM truth, (VALUES (-0.5e0), (0e0), (0.5e0), (1e0)) AS g(mu)) AS x WHERE r = 1 AND has = 1 GROUP BY mu"""),
-    "weight_sweep": ("N14 in part: mean rank at four weights of the temporal score", "SELECT w, round(avg(r * 1e0), 8) AS mean_rank FROM (SELECT g.w, truth, row_number() OVER (PARTITION BY g.w, slick ORDER BY (score * g.w + type) / (3 + g.w) DESC, source, truth) AS r FROM truth, (VALUES (0e0), (0.25e0), (1e0), (10e0)) AS g(w)) AS x WHERE truth GROUP BY w"),
     "rank_regressions": ("N15: truths that rank lower than before", "SELECT slick, source, old_rank, new_rank FROM (SELECT slick, source, truth, row_number() OVER (PARTITION BY slick ORDER BY score DESC, source, truth) AS old_rank, row_number() OVER (PARTITION BY slick ORDER BY score - type DESC, source, truth) AS new_rank FROM truth) AS x WHERE truth AND new_rank > old_rank"),
     "metrics_long": ("N16: wide metrics to long form", "SELECT slick, metric, round(v, 8) AS v FROM (SELECT slick, 'best' AS metric, max(score) AS v FROM truth GROUP BY slick UNION ALL SELECT slick, 'mean', avg(score) FROM truth GROUP BY slick) AS x"),
     "missing_truth": ("N6 J15: truths that no candidate met get score 0 and no rank", "SELECT DISTINCT t.slick, t.source, 0e0 AS score FROM truth t LEFT ANTI JOIN (SELECT slick, source FROM score WHERE score > 0) AS c ON c.slick = t.slick AND c.source = t.source WHERE t.truth"),
@@ -171,7 +170,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "scene_log_stats": ("A21 A22 S16 X13: a log rolled up by scene", "SELECT ssvid, count(CASE WHEN kind = 'click' THEN 1 END) AS clicks, count(CASE WHEN kind = 'view' THEN 1 END) AS views, max(CASE WHEN kind = 'purchase' THEN value END) AS top_purchase, min_by(kind, ts) AS first_kind FROM ping GROUP BY ssvid"),
     "log_payload": ("S16 X13: a field out of JSON payloads", "SELECT event_id, CAST($json(props, k) AS BIGINT) AS k FROM events"),
     "log_query": ("F14: log lines by time, text and severity", "SELECT id, kind FROM ping WHERE ts >= CAST('2024-01-10 00:00:00' AS TIMESTAMP) AND ts < CAST('2024-01-12 00:00:00' AS TIMESTAMP) AND lower(kind) LIKE '%c%' AND NOT kind = 'view' AND (CASE kind WHEN 'click' THEN 1 WHEN 'purchase' THEN 3 ELSE 2 END) >= 1 ORDER BY ts DESC, id"),
-    "started_not_finished": ("N11 A23 O10: set difference", "SELECT ssvid FROM ping WHERE value > 400 EXCEPT SELECT ssvid FROM ping WHERE value < 1"),
+    "started_not_finished": ("N11 A23 O10: set difference", "SELECT ssvid, CAST(CAST(ts AS DATE) AS STRING) AS day FROM ping WHERE kind = 'signup' EXCEPT SELECT ssvid, CAST(CAST(ts AS DATE) AS STRING) FROM ping WHERE kind = 'purchase'"),
     "alert_counts_24h": ("F15 T5s: event types with more than one event in the last day", "SELECT t.kind, coalesce(c.n, 0) AS n, coalesce(c.n, 0) > 1 AS alert FROM (SELECT DISTINCT kind FROM ping) AS t LEFT JOIN (SELECT kind, count(*) AS n FROM ping WHERE ts > CAST('2024-01-29 00:00:00' AS TIMESTAMP) GROUP BY kind) AS c ON c.kind = t.kind"),
     "scene_filter": ("F1 X18: acquisitions of the wanted mode, resolution and polarization", "SELECT id FROM (SELECT id, CASE WHEN id % 3 = 0 THEN 'EW' ELSE 'IW' END AS mode, CASE WHEN id % 5 = 0 THEN 'M' ELSE 'H' END AS resolution, CASE WHEN id % 2 = 0 THEN 'DV' ELSE 'DH' END AS polarization FROM ping) AS s WHERE mode = 'IW' AND resolution = 'H' AND substr(polarization, 2, 1) = 'V'"),
     "task_ids": ("K6 X8 T2s: deterministic task ids, one row each", "SELECT DISTINCT concat('asa-', CAST(ssvid AS STRING), '-', substr($sha256(kind), 1, 10), '-', $ymd(ts)) AS task_id FROM ping"),
@@ -186,7 +185,6 @@ QUERIES: dict[str, tuple[str, str]] = {
     "hitl_merge": ("D2 A13: detections merged into one with joined notes", "SELECT run, min(ts) AS first_ts, max(ts) AS last_ts, round(sum(area), 4) AS area, count(*) AS n, $join(id) AS precursors FROM slick WHERE active GROUP BY run"),
     "hitl_split": ("D3: a detection split in parts with lineage, the old one inactive", "SELECT s.id AS precursor, s.id * 10 + k.k AS id, round(s.area / 3, 6) AS area, true AS active FROM slick s, (VALUES (0), (1), (2)) AS k(k) WHERE s.cls = 9 UNION ALL SELECT CAST(NULL AS BIGINT), id, round(area, 6), false FROM slick WHERE cls = 9"),
     "pixel_stats": ("A17: mean, median and maximum of a tile's pixels", "SELECT vec_id, round(avg(CAST(p AS DOUBLE)), 6) AS mean, round($median(CAST(p AS DOUBLE)), 6) AS med, round(max(CAST(p AS DOUBLE)), 6) AS top FROM (SELECT vec_id, $explode(embedding) AS p FROM embeddings) AS x GROUP BY vec_id"),
-    "zonal_stats": ("A17: sums of pixels by class and the best class", "SELECT label, count(*) AS n, round(sum(CAST(p AS DOUBLE)), 4) AS total FROM (SELECT label, $explode(embedding) AS p FROM embeddings) AS x WHERE p > 0 GROUP BY label"),
     "mask_class": ("P17 A15: land before ice before none", "SELECT id, CASE WHEN lon < -60 THEN 'LAND' WHEN lat > 30 THEN 'SEA_ICE' END AS mask FROM place"),
     "global_bounds": ("A16: bounds of all", "SELECT min(lon) AS minx, min(lat) AS miny, max(lon) AS maxx, max(lat) AS maxy FROM place"),
     "availability": ("S4: newest date and presence", "SELECT CAST(CAST(max(ts) AS DATE) AS STRING) AS newest, count(*) > 0 AS some FROM ping"),
@@ -225,35 +223,38 @@ MACROS = {
 }
 
 
-def _needed(text: str, seen: dict[str, None] | None = None) -> dict[str, None]:
+def _needed(text: str, views: dict[str, str], seen: dict[str, None] | None = None, of: str = "") -> dict[str, None]:
     """Domain views that a text uses, those they use first."""
     seen = {} if seen is None else seen
-    for name, body in VIEWS.items():
-        if name not in seen and re.search(rf"\b(?:FROM|JOIN|,)\s+{name}\b", text):
-            _needed(body, seen)
+    for name, body in views.items():
+        if name not in seen and name != of and re.search(rf"(?:\b(?:FROM|JOIN)|,)\s+{name}\b", text):
+            _needed(body, views, seen, name)
             seen[name] = None
     return seen
 
 
-def render(text: str, dialect: str) -> str:
-    """The full SQL of a query with its domain views as common table expressions; dialect is spark or duckdb."""
-    views = [f"{n} AS ({VIEWS[n]})" for n in _needed(text)]
-    recursive = text.lstrip().startswith("WITH RECURSIVE")
-    if recursive:
-        text = text.lstrip().removeprefix("WITH RECURSIVE")
-    if views or recursive:
-        glue = ("," if views else "") if recursive else ""
-        text = f"WITH {'RECURSIVE ' * recursive}{', '.join(views)}{glue} {text}"
+def _macros(text: str, duckdb: bool) -> str:
     for name, makes in MACROS.items():
-        text = _macro(text, name, makes[dialect == "duckdb"])
-    if dialect == "duckdb":
-        text = re.sub(r"\bLEFT (ANTI|SEMI) JOIN\b", r"\1 JOIN", text)
+        text = _macro(text, name, makes[duckdb])
     return text
 
 
-def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The query over the tables in sf_dir."""
-    text = render(QUERIES[name][1], "spark")
+def render(text: str, dialect: str) -> str:
+    """The full SQL of a query with its domain views as common table expressions; dialect is spark or duckdb."""
+    bodies = VIEWS if dialect == "duckdb" else VIEWS | SPARK_VIEWS
+    views = [f"{n}{'(id)' if n == 'not_oil' else ''} AS ({bodies[n]})" for n in _needed(text, bodies)]
+    own = re.match(r"\s*WITH (RECURSIVE )?", text)
+    if own:
+        text = text[own.end() :]
+    recursive = own and own[1] or any(v.startswith("not_oil(") for v in views)
+    if views or own:
+        text = f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(views)}{',' if views and own else ''} {text}"
+    text = _macros(text, dialect == "duckdb")
+    return re.sub(r"\bLEFT (ANTI|SEMI) JOIN\b", r"\1 JOIN", text) if dialect == "duckdb" else text
+
+
+def _sql(text: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = render(text, "spark")
     if "WITH RECURSIVE" in text:
         # what a recursion reaches grows with the input; the default limit of rows would end it with an error
         spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
@@ -263,6 +264,18 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(text)
 
 
+def view(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A domain view over the tables in sf_dir."""
+    return _sql(f"SELECT * FROM {name}", spark, sf_dir)
+
+
+def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query over the tables in sf_dir: by a plan of its own where there is one, else by its SQL."""
+    from tidewatch.plans.views import FRAMES  # they use the domain views from here
+
+    return FRAMES[name](spark, sf_dir) if name in FRAMES else _sql(QUERIES[name][1], spark, sf_dir)
+
+
 def queries() -> dict:
     return {name: (lambda spark, sf_dir, name=name: run(name, spark, sf_dir)) for name in QUERIES}
 

@@ -5,10 +5,11 @@ The transformations take batch or streaming frames alike.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tidewatch.plans.tables import shared_folder
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,10 +42,18 @@ def alert_counts(events: DataFrame, least: int = 1) -> DataFrame:
 
 
 def drained(stream: DataFrame, mode: str) -> DataFrame:
-    """What a stream gives for all that is there now."""
-    name = f"drained_{uuid.uuid4().hex}"
-    stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.table(name)
+    """What a stream gives for all that is there now. Each batch is written under its number in a shared folder, beside the stream's
+    checkpoint, so that a batch that runs again replaces itself; of a complete result the last batch counts."""
+    folder = shared_folder(stream.sparkSession)
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+
+    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
+    rows = stream.sparkSession.read.schema(StructType([*stream.schema.fields, StructField("batch", LongType())])).parquet(f"{folder}/rows")
+    if mode == "complete":
+        rows = rows.where(F.col("batch") == rows.agg(F.max("batch")).first()[0])
+    return rows.drop("batch")
 
 
 def stream_alert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
