@@ -1,5 +1,6 @@
 """What the training-data operators share: shared-folder tables, batches of text as byte arrays, components."""
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder that all executors share, from spark.checkpoint.dir. Where that is unset, a temporary one serves a local master, as in tests, and a cluster is an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is to name a folder that all executors share")
         found = f"file://{tempfile.gettempdir()}/tidewatch-shared"
     return found.rstrip("/")
 

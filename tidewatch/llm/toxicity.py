@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidewatch.llm import bytehash as bh
-from tidewatch.llm.common import pieces, small_batches, text_bytes
+from tidewatch.llm.common import merged, pieces, saved, small_batches, text_bytes
 from tidewatch.llm.near_dedup import packed, unpacked
 
 U = np.uint64
@@ -57,53 +57,54 @@ def _trigrams(word: np.ndarray) -> np.ndarray:
 
 
 def _copies(batches):
-    """Adds a key that copies of a text share mostly: the least hash of three tokens in a row; and packs the text."""
+    """Adds a key that copies of a text share mostly, the least hash of three tokens in a row, and a digest of all tokens; and packs the text."""
     for b in batches:
         off, data = text_bytes(b.column(1))
-        key = np.zeros(b.num_rows, U)
+        key, digest = np.zeros(b.num_rows, U), [b""] * b.num_rows
         for i, j in pieces(off):
             row, word, _ = _features(data[off[i] : off[j]], off[i : j + 1] - off[i])
             first = np.flatnonzero(np.concatenate([[True], np.diff(row) != 0])) if len(row) else row
             for r, a, z in zip(row[first], first, [*first[1:], len(row)], strict=True):
                 key[i + r] = _trigrams(word[a:z]).min()
+                digest[i + r] = hashlib.sha256(word[a:z].tobytes()).digest()
         z = next(packed(iter([b])))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key.view(np.int64)), z.column(1)], names=["doc_id", "key", "z"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key.view(np.int64)), pa.array(digest, pa.binary()), z.column(1)], names=["doc_id", "key", "digest", "z"])
 
 
-class _Group:
-    """The texts of one key and label, smallest doc_id first: tells which are copies."""
+def training_rows(documents: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows (toxic, z, first) of the labelled texts, packed: of those of one label with equal tokens the one with the smallest doc_id, combined
+    before they move; first is the text with the smallest doc_id of those that share the least trigram and label, null for itself.
+    It is one row that meets all of its group, which so needs no place of its own."""
+    rows = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_copies, "doc_id long, key long, digest binary, z binary").join(known.hint("merge"), "doc_id")
+    least = F.min(F.struct("doc_id", "z"))
+    one = saved(rows.groupBy("key", "toxic", "digest").agg(least.alias("x")).select("key", "toxic", "x.*"))
+    first = saved(one.groupBy("key", "toxic").agg(least.alias("f")))
+    return merged(one, first, ["key", "toxic"]).select("toxic", "z", F.when(F.col("doc_id") != F.col("f.doc_id"), F.col("f.z")).alias("first"))
 
-    def __init__(self):
-        self.at = self.first = None
-        self.seen: set[bytes] = set()
 
-    def counts(self, at: tuple, word: np.ndarray) -> bool:
-        """Whether the next text, of these tokens, is no copy of the group's first and equal to none of the group."""
-        grams = np.unique(_trigrams(word))
-        digest = hashlib.sha256(word.tobytes()).digest()
-        if at != self.at:
-            self.at, self.first, self.seen = at, grams, {digest}
-            return True
-        if digest in self.seen:
-            return False
-        self.seen.add(digest)
-        both = len(np.intersect1d(grams, self.first, assume_unique=True))
-        return both < COPY * (len(grams) + len(self.first) - both)
+def _grams(z) -> np.ndarray:
+    off, data = text_bytes(unpacked(pa.array([z], pa.binary())))
+    return np.unique(_trigrams(_features(data, off)[1]))
 
 
 def _counts(batches):
-    """In how many texts of each label a feature stands, copies left out (the rows come sorted by key, label and doc_id);
-    a row for each feature that does. Feature FEATURES counts the texts."""
+    """In how many texts of each label a feature stands, copies of the group's first left out; a row for each feature that does. Feature FEATURES counts the texts."""
     total = np.zeros((2, FEATURES + 1), np.int64)
-    group = _Group()
+    last, theirs = None, np.zeros(0, U)
     for b in batches:
-        keys = list(zip(b.column("key").to_pylist(), b.column("toxic").to_pylist(), strict=True))
-        label = np.array([k[1] for k in keys])
+        label, first = b.column("toxic").to_numpy(zero_copy_only=False), b.column("first").to_pylist()
         off, data = text_bytes(unpacked(b.column("z")))
         for i, j in pieces(off):
             row, word, of = _features(data[off[i] : off[j]], off[i : j + 1] - off[i])
             ends = np.searchsorted(row, np.arange(j - i + 1))
-            new = np.array([group.counts(keys[i + r], word[ends[r] : ends[r + 1]]) for r in range(j - i)], bool)
+            new = np.ones(j - i, bool)
+            for r in range(j - i):
+                if first[i + r] is not None:
+                    if first[i + r] != last:
+                        last, theirs = first[i + r], _grams(first[i + r])
+                    grams = np.unique(_trigrams(word[ends[r] : ends[r + 1]]))
+                    both = len(np.intersect1d(grams, theirs, assume_unique=True))
+                    new[r] = both < COPY * (len(grams) + len(theirs) - both)
             seen = np.unique((row * FEATURES + of)[:, new[row]].ravel())
             for y in (0, 1):
                 total[y, :FEATURES] += np.bincount(seen[label[i + seen // FEATURES] == y] % FEATURES, minlength=FEATURES)
@@ -268,9 +269,7 @@ def fit(documents: DataFrame, labels: DataFrame, prior: float = 10.0, drift: flo
     small_batches(spark)
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
-    rows = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_copies, "doc_id long, key long, z binary").join(known.hint("merge"), "doc_id")
-    sorted_ = rows.select("key", "toxic", "doc_id", "z").repartition("key", "toxic").sortWithinPartitions("key", "toxic", "doc_id", "z")
-    found = sorted_.mapInArrow(_counts, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean"), F.sum("toxic")).toArrow()
+    found = training_rows(documents, known).mapInArrow(_counts, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean"), F.sum("toxic")).toArrow()
     counts = np.zeros((2, FEATURES + 1), np.int64)
     at = found.column(0).to_numpy()
     counts[0, at], counts[1, at] = found.column(1).to_numpy(), found.column(2).to_numpy()
