@@ -2,17 +2,23 @@
 
 Personalised PageRank runs twice at once: trust flows along host links from hosts with allowed pages, distrust against them
 from hosts with blocked pages (who links to bad hosts is suspect). All steps are DataFrame operations; an iteration
-is one join of the scores with the edges and one sum for each host, combined before it moves.
+is one join of the scores with the edges and one sum for each host, combined before it moves. Iterations end when the
+scores have settled; then each host has a verdict of its own, by how much distrust it has and how that compares with its trust.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import saved
+from tidewatch.llm.common import merged, saved
 
 #: (host, path, verdict): a rule fits its host and all subdomains where the path starts with the rule's path.
 RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 DAMPING = 0.85
+#: Iterations end when the scores change by less than this in all, as a share of the seeds. The error left is at most
+#: DAMPING / (1 - DAMPING) times that.
+TOLERANCE = 1e-4
+#: A host with less distrust than one with so large a share of blocked pages has by them alone isn't blocked.
+LEAST_SHARE = 0.2
 
 
 def _lower(x: Column) -> Column:
@@ -45,38 +51,45 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return rows.select("src", host_of(url).alias("dst")).where("dst != '' AND src != dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def host_scores(pages: DataFrame, rounds: int = 8) -> DataFrame:
-    """(host, trust, distrust) after `rounds` iterations; pages has host, html and ruled. Seeds are each host's share of
-    allowed and of blocked pages."""
+def host_scores(pages: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust), settled to `tolerance`; pages has host, html and ruled. Seeds are each host's share of
+    allowed and of blocked pages. The change shrinks by DAMPING with each iteration at least, so their number is bounded by
+    log(tolerance) / log(DAMPING) or so, whatever the links."""
     edges = saved(host_edges(pages))
     seeds = pages.where("host != ''").groupBy("host").agg(F.avg((F.col("ruled").eqNullSafe("allow")).cast("double")).alias("t0"), F.avg((F.col("ruled").eqNullSafe("block")).cast("double")).alias("b0"))
     hosts = seeds.unionByName(edges.select(F.col("dst").alias("host"), F.lit(0.0).alias("t0"), F.lit(0.0).alias("b0")))
-    now = saved(hosts.groupBy("host").agg(F.max("t0").alias("t0"), F.max("b0").alias("b0")).select("*", F.col("t0").alias("trust"), F.col("b0").alias("distrust")))
+    start = [(F.col(s) * (1 - DAMPING)).alias(n) for s, n in (("t0", "trust"), ("b0", "distrust"))]
+    now = saved(hosts.groupBy("host").agg(F.max("t0").alias("t0"), F.max("b0").alias("b0")).select("*", *start, F.lit(0.0).alias("moved")))
     if edges.isEmpty():
-        return now.select("host", (F.col("trust") * (1 - DAMPING)).alias("trust"), (F.col("distrust") * (1 - DAMPING)).alias("distrust"))
+        return now.select("host", "trust", "distrust")
+    mass = now.agg(F.sum(F.col("t0") + F.col("b0"))).first()[0] or 0.0
     both = edges.select("src", "dst", "n", F.lit(True).alias("ahead")).union(edges.select("dst", "src", "n", F.lit(False)))
-    out = both.groupBy("src", "ahead").agg(F.sum("n").alias("all"))
-    both = saved(both.join(out, ["src", "ahead"]).select(F.col("src").alias("host"), "dst", "ahead", (F.col("n") / F.col("all")).alias("share")))
-    for _ in range(rounds):
-        flow = both.join(now, "host").select(F.col("dst").alias("host"), F.when(F.col("ahead"), F.col("share") * F.col("trust")).otherwise(0.0).alias("t"), F.when(~F.col("ahead"), F.col("share") * F.col("distrust")).otherwise(0.0).alias("b"))
+    out = saved(both.groupBy("src", "ahead").agg(F.sum("n").alias("all")))
+    both = saved(merged(both, out, ["src", "ahead"]).select(F.col("src").alias("host"), "dst", "ahead", (F.col("n") / F.col("all")).alias("share")))
+    while True:
+        flow = merged(both, now, "host").select(F.col("dst").alias("host"), F.when(F.col("ahead"), F.col("share") * F.col("trust")).otherwise(0.0).alias("t"), F.when(~F.col("ahead"), F.col("share") * F.col("distrust")).otherwise(0.0).alias("b"))
         came = flow.groupBy("host").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-        step = now.select("host", "t0", "b0").join(came, "host", "left")
-        now = saved(step.select("host", "t0", "b0", *[((1 - DAMPING) * F.col(s) + DAMPING * F.coalesce(c, F.lit(0.0))).alias(n) for s, c, n in (("t0", "t", "trust"), ("b0", "b", "distrust"))]))
-    return now.select("host", "trust", "distrust")
+        step = merged(now.withColumnsRenamed({"trust": "was_t", "distrust": "was_b"}).drop("moved"), came, "host", "left")
+        step = step.select("host", "t0", "b0", "was_t", "was_b", *[((1 - DAMPING) * F.col(s) + DAMPING * F.coalesce(c, F.lit(0.0))).alias(n) for s, c, n in (("t0", "t", "trust"), ("b0", "b", "distrust"))])
+        now = saved(step.select("host", "t0", "b0", "trust", "distrust", (F.abs(F.col("trust") - F.col("was_t")) + F.abs(F.col("distrust") - F.col("was_b"))).alias("moved")))
+        if now.agg(F.sum("moved")).first()[0] <= tolerance * mass:
+            return now.select("host", "trust", "distrust")
 
 
-def url_verdicts(pages: DataFrame, rules=RULES, rounds: int = 8, margin: float = 1.0) -> DataFrame:
+def url_verdicts(pages: DataFrame, rules=RULES, tolerance: float = TOLERANCE, least_share: float = LEAST_SHARE, margin: float = 1.0) -> DataFrame:
     """One row for each row of pages (page_id, url, html): page_id, host, path, rule, verdict, trust, distrust.
 
-    A rule's verdict stands; elsewhere a host is blocked if its distrust is more than `margin` times its trust. Null urls and
+    A rule's verdict stands; elsewhere a host is blocked if its distrust is more than `margin` times its trust, and at
+    least what a share of `least_share` of its own pages blocked by rules would give it (one blocked page among many
+    clean ones doesn't block a host). Null urls and
     urls without :// have an empty host and path and are allowed; a null html has no links; repeated rows are judged alike;
     other columns are ignored; an empty table gives an empty result.
     """
     rows = judged(pages.select("page_id", "url", "html"), rules)
-    scores = host_scores(rows, rounds)
+    scores = host_scores(rows, tolerance)
     # the verdict is one for each host, and a host may have a third of all pages: its row meets them in several places
     spread = scores.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
     out = rows.drop("html").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(16)).cast("int")).join(spread, ["host", "salt"], "left")
-    suspect = F.coalesce(F.col("distrust") > margin * F.col("trust"), F.lit(False))
+    suspect = F.coalesce((F.col("distrust") > margin * F.col("trust")) & (F.col("distrust") >= (1 - DAMPING) * least_share), F.lit(False))
     verdict = F.coalesce("ruled", F.when(suspect, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
