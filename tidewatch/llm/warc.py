@@ -22,6 +22,8 @@ ARC_FIELDS = {
     1: ("url", "ip", "date", "content_type", "length"),
     2: ("url", "ip", "date", "content_type", "result_code", "checksum", "location", "offset", "filename", "length"),
 }
+#: How an ARC file's version block spells those fields.
+ARC_NAMES = {"url": "URL", "ip": "IP-address", "date": "Archive-date", "content_type": "Content-type", "result_code": "Result-code", "checksum": "Checksum", "location": "Location", "offset": "Offset", "filename": "Filename", "length": "Archive-length"}
 #: The archive date of pages that have none.
 ARC_DATE = "20240101000000"
 
@@ -33,12 +35,38 @@ def arc_record(version: int, url: str | None, payload: bytes, date: str = ARC_DA
     return " ".join(head[f] for f in ARC_FIELDS[version]).encode() + b"\n" + payload + b"\n"
 
 
-def parse_arc(data: bytes, at: int = 0) -> tuple[dict, bytes, int]:
-    """Header fields, payload and end of the record at `at`; the version shows in the number of fields, the payload's end in its declared length."""
+def arc_file(version: int, rows: list[tuple[str | None, bytes]], name: str = "pages.arc") -> bytes:
+    """A legacy archive of (url, payload) rows: the version block, which tells the version and the fields of its header lines, and a record each."""
+    block = f"{version} 0 tidewatch\n{' '.join(ARC_NAMES[f] for f in ARC_FIELDS[version])}\n".encode()
+    parts, size = [arc_record(version, f"filedesc://{name}", block, name=name).replace(b" text/html ", b" text/plain ", 1)], 0
+    for url, payload in rows:
+        size += len(parts[-1])
+        parts.append(arc_record(version, url, payload, name=name, offset=size))
+    return b"".join(parts)
+
+
+def arc_records(data: bytes):
+    """(header fields, payload) of the records of a legacy archive; which fields a header line has is told by the version block."""
+    head, block, at = parse_arc(data)
+    if not head["url"].startswith("filedesc://"):
+        raise ValueError("an ARC file begins with its version block")
+    first, _, rest = block.decode().partition("\n")
+    keys = {name: key for key, name in ARC_NAMES.items()}
+    fields = tuple(keys.get(x, x) for x in rest.split("\n", 1)[0].split(" "))
+    if fields != ARC_FIELDS.get(int(first.split(" ", 1)[0])):
+        raise ValueError(f"not a known version of ARC: {first}")
+    while at < len(data):
+        head, payload, at = parse_arc(data, at, fields)
+        yield head, payload
+
+
+def parse_arc(data: bytes, at: int = 0, fields: tuple[str, ...] | None = None) -> tuple[dict, bytes, int]:
+    """Header fields, payload and end of the record at `at`; the payload's end is in its declared length. Without fields, those of
+    the version whose number of them fits."""
     end = data.index(b"\n", at)
     parts = data[at:end].decode("utf-8", "replace").split(" ")
-    fields = next((f for f in ARC_FIELDS.values() if len(f) == len(parts)), None)
-    if fields is None:
+    fields = fields or next((f for f in ARC_FIELDS.values() if len(f) == len(parts)), ())
+    if len(fields) != len(parts):
         raise ValueError(f"not an ARC header line: {parts[:3]}")
     head = dict(zip(fields, parts, strict=True))
     start, stop = end + 1, end + 1 + int(head["length"])
@@ -67,13 +95,11 @@ def to_warc(head: dict, payload: bytes, page_id: int | None, refers_to: int | No
 
 
 def _convert(batches):
-    """(page_id, url, html, first) to WARC records, by way of ARC records of either version."""
-    for b in batches:
-        out = []
-        for n, (page, url, text, first) in enumerate(zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "first")), strict=True)):
-            legacy = arc_record(1 + n % 2, url, (text or "").encode())
-            head, payload, _ = parse_arc(legacy)
-            out.append(to_warc(head, payload, page, None if first == page else first))
+    """(page_id, url, html, first) to WARC records, by way of a legacy archive of either version for each batch."""
+    for n, b in enumerate(batches):
+        pages, urls, texts, firsts = (b.column(c).to_pylist() for c in ("page_id", "url", "html", "first"))
+        legacy = arc_file(1 + n % 2, [(u, (t or "").encode()) for u, t in zip(urls, texts, strict=True)])
+        out = [to_warc(head, payload, page, None if first == page else first) for (head, payload), page, first in zip(arc_records(legacy), pages, firsts, strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in out], pa.string())], names=["value"])
 
 
