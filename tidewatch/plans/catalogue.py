@@ -64,12 +64,13 @@ SPARK_VIEWS = {
     "slick_plus": VIEWS["slick_plus"].replace("WHERE r.cls IS NULL OR r.cls NOT IN (SELECT id FROM not_oil)", "LEFT ANTI JOIN not_oil o ON r.cls = o.id"),
 }
 
-# Columns that the table functions over slick_plus give out.
+#: Columns that the table functions over slick_plus give out.
 FUNCTION_COLUMNS = "id, ts, area, scene_id, linearity, hitl_cls, hitl_name, eez, iho, mpa, vessels, infra, dark, max_score, url"
 _HAVERSINE = "2 * 6371008.8e0 * asin(sqrt(least(1e0, power(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * power(sin(radians({b}.lon - {a}.lon) / 2), 2))))"
 _NEAR = _HAVERSINE.format(a="a", b="b")
 _SITES = "SELECT s_suppkey AS id, 5e0 + (s_suppkey * 7919 % 1000) / 2000e0 AS lon, 50e0 + (s_suppkey * 104729 % 1000) / 2000e0 AS lat FROM supplier"
 _DETECTIONS = "SELECT c_custkey AS id, 5e0 + (c_custkey * 6007 % 10007) / 20014e0 AS lon, 50e0 + (c_custkey * 7001 % 10009) / 20018e0 AS lat, c_acctbal AS length_m FROM customer"
+VIEWS |= {"supplier_places": _SITES, "customer_places": _DETECTIONS}
 _CELLS = "SELECT dx, dy FROM (VALUES (-1), (0), (1)) AS i(dx), (VALUES (-1), (0), (1)) AS j(dy)"
 _STEPS = """SELECT *, lead(ts) OVER w AS t1, lead(lon) OVER w AS lon1, lead(lat) OVER w AS lat1, lead(speed) OVER w AS speed1, lead(course) OVER w AS course1 FROM ping WINDOW w AS (PARTITION BY ssvid ORDER BY ts)"""
 
@@ -271,9 +272,10 @@ def view(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The query over the tables in sf_dir: by a plan of its own where there is one, else by its SQL."""
-    from tidewatch.plans.views import FRAMES  # they use the domain views from here
+    from tidewatch.plans import frames, views  # they use the domain views from here
 
-    return FRAMES[name](spark, sf_dir) if name in FRAMES else _sql(QUERIES[name][1], spark, sf_dir)
+    plans = frames.FRAMES | views.FRAMES
+    return plans[name](spark, sf_dir) if name in plans else _sql(QUERIES[name][1], spark, sf_dir)
 
 
 def queries() -> dict:
