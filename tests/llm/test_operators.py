@@ -48,7 +48,7 @@ def test_near_duplicates_equal_brute_force(spark):
             for j in sets:
                 if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
                     up[i] = up[j] = min(up[i], up[j])
-    for leaf in (64, 16):
+    for leaf in (16,):
         got = near_dedup.near_duplicates(docs(spark, texts + [(None, "one")]), k=4, leaf=leaf).collect()
         assert len(got) == len(texts) + 1
         for r in got:
@@ -77,7 +77,7 @@ def test_near_duplicates_in_a_dense_group(spark):
                 if up[i] != up[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
                     up[i] = up[j] = min(up[i], up[j])
     assert 5 < len(set(up)) < 145
-    got = near_dedup.near_duplicates(docs(spark, texts), k=4, leaf=40).collect()
+    got = near_dedup.near_duplicates(docs(spark, texts), k=4, leaf=80).collect()
     assert {x.doc_id: x.component_id for x in got} == dict(enumerate(up))
 
 
