@@ -12,12 +12,13 @@ which the figures of all orders follow.
 import itertools
 import math
 
+import pyarrow as pa
 import zstandard
 from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import merged
+from tidewatch.llm.common import merged, saved, small_batches
 
 LETTERS = "ABCDE"
 COPY = 1 << LETTERS.index("E")
@@ -26,6 +27,9 @@ UPPER, SIGNS = bytes(range(65, 91)), b"#$%&*|"
 CHAINED = 32 << 20
 #: A vector has a place for each mask and each of the four pairs of labels.
 PLACES = 4 << len(LETTERS)
+#: What a task passes on, and an odd number that spreads decided rows.
+ENTRY = pa.schema([("hash", pa.int64()), ("z", pa.binary()), ("doc_id", pa.int64()), ("mask", pa.int32()), ("parts", pa.map_(pa.string(), pa.int64()))])
+ODD = 0x9E3779B97F4A7C15
 COLUMNS = "part string, filter_order string, step int, kept long, removed long, redundant long, unique_fails long, good_lost long, toxic_lost long, shapley long"
 
 
@@ -71,26 +75,32 @@ class Chains:
                 yield late[0], part, entry[2] | COPY, n
 
 
-def _chained(fingerprint: str):
-    """Of a task's rows: (hash that routes it, value), the minimum of each text with the text, the rest decided."""
+def _chained(batches):
+    """Of a task's rows: those that are decided, and the minimum of each text with the text; hash: where they are routed to."""
+    z, chains, out = zstandard.ZstdCompressor(level=1), Chains(), []
 
-    def run(rows):
-        z, chains = zstandard.ZstdCompressor(level=1), Chains()
+    def batch(rows):
+        columns = [x[0] for x in rows], [x[1] for x in rows], [x[2] for x in rows], [x[3] for x in rows], [list(x[4].items()) for x in rows]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, ENTRY.types, strict=True)], schema=ENTRY)
 
-        def flush():
-            for h, chain in chains.by_hash.items():
-                for text, doc_id, mask, parts in chain:
-                    yield h, (z.compress(text.encode()), doc_id, mask, parts)
+    def flush():
+        for h, chain in chains.by_hash.items():
+            for text, doc_id, mask, parts in chain:
+                yield h, z.compress(text.encode()), doc_id, mask, parts
 
-        for place, r in enumerate(rows):
-            for doc_id, part, mask, n in chains.add(r[fingerprint], r["text"], r["doc_id"], None, {r["part"]: 1}):
-                yield r[fingerprint] + place, (None, doc_id, mask, {part: n})  # not all to where the text is
-            if chains.size > CHAINED:
-                yield from flush()
-                chains = Chains()
-        yield from flush()
-
-    return run
+    place = 0
+    for b in batches:
+        for fingerprint, text, doc_id, part in zip(*(b.column(c).to_pylist() for c in ("fingerprint", "text", "doc_id", "part")), strict=True):
+            for late in chains.add(fingerprint, text, doc_id, None, {part: 1}):
+                place += 1  # decided rows don't all go to where the text is
+                out.append(((fingerprint + place * ODD) % (1 << 63), None, late[0], late[2], {late[1]: late[3]}))
+        if chains.size > CHAINED:
+            yield batch(list(flush()))
+            chains = Chains()
+        if out:
+            yield batch(out)
+            out = []
+    yield batch(list(flush()))
 
 
 def _resolved(rows):
@@ -116,10 +126,13 @@ def _resolved(rows):
 def masks(documents: DataFrame) -> DataFrame:
     """Rows (doc_id, part, mask, rows): how many rows of documents (doc_id, text, source) have the id, the source and fail just these filters."""
     spark = documents.sparkSession
+    small_batches(spark)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), text.alias("text"), F.xxhash64(text).alias("fingerprint"))
+    entries = saved(rows.mapInArrow(_chained, "hash long, z binary, doc_id long, mask int, parts map<string, long>"))
     partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    routed = rows.rdd.mapPartitions(_chained("fingerprint")).repartitionAndSortWithinPartitions(partitions, lambda h: h % partitions)
+    pairs = entries.rdd.map(lambda r: (r[0], (r[1], r[2], r[3], r[4])))
+    routed = pairs.repartitionAndSortWithinPartitions(partitions, lambda h: h % partitions)
     return spark.createDataFrame(routed.mapPartitions(_resolved), "doc_id long, part string, mask int, rows long", verifySchema=False)
 
 
