@@ -24,8 +24,10 @@ from tidewatch.llm.common import saved, small_batches
 
 U = np.uint64
 #: Bytes of text in a batch, about; a longer text is a batch of its own. Words and windows are hashed in parts of this size.
-BATCH = 8 << 20
-PART = 1 << 22
+BATCH = 4 << 20
+PART = 1 << 20
+#: Buckets for each shuffle partition.
+BUCKETS = 2
 LAST = np.iinfo(np.int64).max
 
 
@@ -208,7 +210,7 @@ def repeated_windows(documents: DataFrame, length: int = 20, batch_bytes: int =
     """
     spark = documents.sparkSession
     small_batches(spark)
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = BUCKETS * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     batches = saved(docs.mapInArrow(_batched(batch_bytes), "batch long, ids array<long>, sizes array<long>, z binary"))
     entries = batches.mapInArrow(_entries(length, buckets), "bucket int, batch long, low binary, high binary, ids binary, counts binary")
