@@ -29,9 +29,16 @@ def total(sides: Column, of) -> Column:
     return F.aggregate(sides, F.lit(0.0), lambda a, s: a + of(s))
 
 
+def moved(ring: Column, degrees: Column) -> Column:
+    """A ring moved along its parallels."""
+    return F.transform(ring, lambda p: F.struct((p["x"] + degrees).alias("x"), p["y"].alias("y")))
+
+
 def planar_area(ring: Column) -> Column:
-    """Signed: positive for counter-clockwise rings."""
-    return total(edges(ring), lambda s: s["ax"] * s["by"] - s["bx"] * s["ay"]) / 2
+    """Signed: positive for counter-clockwise rings. Relative to the first corner, so that small far-off rings lose no digits."""
+    cross = lambda a, p, q: (p["x"] - a["x"]) * (q["y"] - a["y"]) - (q["x"] - a["x"]) * (p["y"] - a["y"])
+    of = lambda r: F.aggregate(F.sequence(F.lit(1), F.size(r) - 1), F.lit(0.0), lambda s, i: s + cross(r[0], r[i - 1], r[i])) / 2
+    return let(ring, lambda r: F.when(F.size(r) > 2, of(r)).otherwise(0.0))
 
 
 def spherical_area(ring: Column) -> Column:

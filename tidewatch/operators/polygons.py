@@ -14,11 +14,14 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 
 from tidewatch.functions import geometry as geo
 from tidewatch.operators.graph import components
+from tidewatch.operators.overlays import dissolved, shape_area, shape_of, strips
 from tidewatch.plans import tables
 
 RING = ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))
-#: Degrees that a grid cell measures in the joins between shapes.
-CELL = 0.05
+#: Degrees that a cell of the finest grid measures in the joins between shapes, and how many times it doubles up to the whole earth.
+CELL, LEVELS = 0.05, 14
+#: Decimals of the latitude whose plane a pair is measured on.
+LATITUDES = 2
 # Metres that parts of one detection may lie apart (twice the buffer), and that one site's points may.
 STITCH, SITE = 2000.0, 150.0
 # Fixed value: polygons under this share of the largest have no extrema.
@@ -80,58 +83,93 @@ def with_envelope(outlines: DataFrame) -> DataFrame:
     return rows.withColumns({"length": F.greatest(*map(side, range(4))), "fill_factor": geo.spherical_area(F.col("ring")) / geo.spherical_area(e)})
 
 
-def _cells(box: Column, margin: float = 0.0) -> Column:
-    """The grid cells that a box covers, each with the box's least cell."""
-    at = lambda c, m: F.floor((box[c] + m) / CELL)
-    xs, ys = (F.sequence(at(f"min{c}", -margin), at(f"max{c}", margin)) for c in "xy")
-    return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("gx"), y.alias("gy"), at("minx", -margin).alias("lx"), at("miny", -margin).alias("ly")))))
+def _widened(box: Column, metres: float) -> Column:
+    """A box with `metres` around it, as wide in degrees of longitude as its side nearer to a pole asks for; all around where it reaches one."""
+    my = metres / geo.METRES_Y
+    cosine = F.cos(F.radians(F.least(F.lit(90.0), F.greatest(F.abs(box["miny"]), F.abs(box["maxy"])) + my)))
+    mx = F.when(cosine * 180 * geo.METRES_X <= metres, 180.0).otherwise(metres / geo.METRES_X / cosine)
+    return F.struct((box["minx"] - mx).alias("minx"), (box["miny"] - my).alias("miny"), (box["maxx"] + mx).alias("maxx"), (box["maxy"] + my).alias("maxy"))
 
 
-def near_pairs(left: DataFrame, right: DataFrame, margin: float, same: list[str]) -> DataFrame:
-    """Pairs of rows whose boxes, the left ones wider by `margin` degrees, share a cell and that agree in the columns `same`; both
-    sides have id and box. Columns get the prefixes a_ and b_. A pair stands once: in the cell where both boxes begin."""
-    a = left.withColumn("cell", F.explode(_cells(F.col("box"), margin))).withColumnsRenamed({c: f"a_{c}" for c in [*left.columns, "cell"]})
-    b = right.withColumn("cell", F.explode(_cells(F.col("box")))).withColumnsRenamed({c: f"b_{c}" for c in [*right.columns, "cell"]})
-    on = (a["a_cell.gx"] == b["b_cell.gx"]) & (a["a_cell.gy"] == b["b_cell.gy"])
+def _level(box: Column) -> Column:
+    """The level whose cells are as large as the box at least, so that it touches four of them at most."""
+    size = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"], F.lit(CELL))
+    return F.ceil(F.log2(size / CELL)).cast("int")
+
+
+def _celled(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """rows (wide, level) once for each cell that they cover, on their own level and on those coarser ones that others are on."""
+    levels = others.select(F.col("level").alias("at")).distinct()  # some fifteen at most, as cells double in size up to the whole earth
+    up = rows.withColumn("at", F.explode(F.sequence("level", F.lit(LEVELS))))
+    up = up.join(F.broadcast(levels.withColumnRenamed("at", "used")), F.col("at") == F.col("used"), "left").where("at = level or used is not null").drop("used")
+    size = F.lit(CELL) * F.pow(F.lit(2.0), F.col("at"))
+    at = lambda c: F.floor(F.col("wide")[c] / size)
+    xs, ys = (F.sequence(at(f"min{c}"), at(f"max{c}")) for c in "xy")
+    cells = F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(F.col("at"), x.alias("gx"), y.alias("gy"), at("minx").alias("lx"), at("miny").alias("ly")))))
+    return up.withColumn("cell", F.explode(cells)).drop("at", "wide")
+
+
+def near_pairs(left: DataFrame, right: DataFrame, metres: float, same: list[str]) -> DataFrame:
+    """Pairs of rows whose boxes, the left ones with `metres` around them, meet and that agree in the columns `same`; both sides have id and
+    box. Columns get the prefixes a_ and b_. a_shift: degrees by which the left row is to be moved to lie beside the right one, where they meet over
+    the 180th meridian.
+
+    Boxes meet on the cells of a grid of several levels: a box is on the level where it touches four cells at most, and on the coarser
+    ones that the other side is on. A pair stands once: on the coarser of its levels, in the cell where both boxes begin.
+    """
+    wide = _widened(F.col("box"), metres)
+    moved = lambda b: F.struct(*[(b[c] + F.col("shift") if c[-1] == "x" else b[c]).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+    shifts = F.filter(F.array(F.lit(0.0), F.when(F.col("wide.minx") < -180, 360.0), F.when(F.col("wide.maxx") > 180, -360.0)), lambda x: x.isNotNull())
+    a = left.withColumn("wide", wide).withColumn("shift", F.explode(shifts)).withColumn("wide", moved(F.col("wide"))).withColumn("level", _level(F.col("wide")))
+    b = right.withColumn("wide", F.col("box")).withColumn("level", _level(F.col("wide")))
+    a, b = (x.withColumnsRenamed({c: f"{n}_{c}" for c in x.columns}) for n, x in (("a", _celled(a, b)), ("b", _celled(b, a))))
+    on = (a["a_cell.at"] == b["b_cell.at"]) & (a["a_cell.gx"] == b["b_cell.gx"]) & (a["a_cell.gy"] == b["b_cell.gy"])
     for c in same:
         on &= a[f"a_{c}"] == b[f"b_{c}"]
-    first = (F.col("a_cell.gx") == F.greatest("a_cell.lx", "b_cell.lx")) & (F.col("a_cell.gy") == F.greatest("a_cell.ly", "b_cell.ly"))
-    return a.join(b, on).where(first).drop("a_cell", "b_cell")
+    once = (F.col("a_cell.at") == F.greatest("a_level", "b_level")) & (F.col("a_cell.gx") == F.greatest("a_cell.lx", "b_cell.lx")) & (F.col("a_cell.gy") == F.greatest("a_cell.ly", "b_cell.ly"))
+    return a.join(b, on).where(once).drop("a_cell", "b_cell", "a_level", "b_level")
+
+
+def point_box() -> Column:
+    return F.struct(F.col("x").alias("minx"), F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy"))
 
 
 def outline_distances(outlines: DataFrame, metres: float, same: list[str]) -> DataFrame:
     """(a, b, metres) for pairs a < b of outlines (id, ring and the columns `same`) that are at most `metres` apart; 0 where they meet."""
     rows = outlines.select("id", "ring", *same).withColumn("box", geo.box(F.col("ring")))
-    margin = metres / geo.METRES_X / math.cos(math.radians(60))  # wide enough up to 60 degrees of latitude
-    pairs = near_pairs(rows, rows, margin, same).where("a_id < b_id")
-    apart = (F.col("a_box.minx") - margin > F.col("b_box.maxx")) | (F.col("a_box.maxx") + margin < F.col("b_box.minx")) | (F.col("a_box.miny") - margin > F.col("b_box.maxy")) | (F.col("a_box.maxy") + margin < F.col("b_box.miny"))
-    lat = F.round((F.col("a_ring")[0]["y"] + F.col("b_ring")[0]["y"]) / 2)
-    sides = lambda c: geo.edges(geo.in_metres(F.col(c), lat))
-    return pairs.where(~apart).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), geo.distance(sides("a_ring"), sides("b_ring")).alias("metres")).where(F.col("metres") <= metres)
+    pairs = near_pairs(rows, rows, metres, same).where("a_id < b_id")
+    wide = _widened(F.col("a_box"), metres)
+    apart = (wide["minx"] + F.col("a_shift") > F.col("b_box.maxx")) | (wide["maxx"] + F.col("a_shift") < F.col("b_box.minx")) | (wide["miny"] > F.col("b_box.maxy")) | (wide["maxy"] < F.col("b_box.miny"))
+    lat = F.round((F.col("a_ring")[0]["y"] + F.col("b_ring")[0]["y"]) / 2, LATITUDES)
+    beside = geo.moved(F.col("a_ring"), F.col("a_shift"))
+    sides = lambda ring: geo.edges(geo.in_metres(ring, lat))
+    return pairs.where(~apart).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), geo.distance(sides(beside), sides(F.col("b_ring"))).alias("metres")).where(F.col("metres") <= metres)
 
 
-def stitched(outlines: DataFrame, metres: float = STITCH) -> DataFrame:
-    """Outlines of one class that chains of gaps up to `metres` connect, as one detection: component (the smallest id), cls, parts,
-    confidence (median), model class (mode, the smallest of equals), and area of all parts."""
-    links = outline_distances(outlines, metres, ["cls"])
-    rows = outlines.join(components(outlines.select("id"), links), "id").withColumn("area", geo.spherical_area(F.col("ring")))
-    return rows.groupBy("component").agg(F.min("cls").alias("cls"), F.count("*").alias("parts"), F.median("confidence").alias("confidence"), F.mode(F.col("id") % 4, True).alias("model_class"), F.sum("area").alias("area"), F.max("confidence").alias("best"))
+def stitched(outlines: DataFrame, scene: str, metres: float = STITCH) -> DataFrame:
+    """Outlines of one scene and class that chains of gaps up to `metres` connect, as one detection: component (the smallest id), cls, parts,
+    confidence (median), model class (mode, the smallest of equals), best confidence, and shape, the union of the outlines."""
+    links = outline_distances(outlines, metres, [scene, "cls"])
+    rows = outlines.join(components(outlines.select("id"), links), "id")
+    found = rows.groupBy("component").agg(F.min("cls").alias("cls"), F.count("*").alias("parts"), F.median("confidence").alias("confidence"), F.mode(F.col("id") % 4, True).alias("model_class"), F.max("confidence").alias("best"))
+    return found.join(dissolved(rows.select("id", "component", shape_of("ring")), ["component"]), "component")
 
 
 def points_near(points: DataFrame, outlines: DataFrame, metres: float) -> DataFrame:
     """(point, outline, metres) for points (id, x, y) at most `metres` from an outline, 0 inside."""
-    p = points.select("id", "x", "y", F.struct(F.col("x").alias("minx"), F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy")).alias("box"))
+    p = points.select("id", "x", "y", point_box().alias("box"))
     o = outlines.select("id", "ring", geo.box(F.col("ring")).alias("box"))
-    pairs = near_pairs(o, p, metres / geo.METRES_X / math.cos(math.radians(60)), [])
-    lat = F.round(F.col("b_y"))
-    d = geo.point_distance(geo.edges(geo.in_metres(F.col("a_ring"), lat)), F.col("b_x") * geo.METRES_X * F.cos(F.radians(lat)), F.col("b_y") * geo.METRES_Y)
+    pairs = near_pairs(o, p, metres, [])
+    lat = F.round(F.col("b_y"), LATITUDES)
+    beside = geo.moved(F.col("a_ring"), F.col("a_shift"))
+    d = geo.point_distance(geo.edges(geo.in_metres(beside, lat)), F.col("b_x") * geo.METRES_X * F.cos(F.radians(lat)), F.col("b_y") * geo.METRES_Y)
     return pairs.select(F.col("b_id").alias("point"), F.col("a_id").alias("outline"), d.alias("metres")).where(F.col("metres") <= metres)
 
 
 def sites(points: DataFrame, metres: float = SITE) -> DataFrame:
     """points (id, x, y) with component: chains of distances up to `metres` connect them (density clusters whose least size is one)."""
-    rows = points.select("id", "x", "y", F.struct(F.col("x").alias("minx"), F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy")).alias("box"))
-    pairs = near_pairs(rows, rows, metres / geo.METRES_X / math.cos(math.radians(60)), []).where("a_id < b_id")
+    rows = points.select("id", "x", "y", point_box().alias("box"))
+    pairs = near_pairs(rows, rows, metres, []).where("a_id < b_id")
     links = pairs.where(geo.haversine(F.col("a_x"), F.col("a_y"), F.col("b_x"), F.col("b_y")) <= metres).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
     return points.join(components(points.select("id"), links), "id")
 
@@ -294,13 +332,11 @@ def extrema_scores(points: DataFrame, extrema: DataFrame, cutoff: float, decay_r
     """(id, score) for points (id, x, y): the best of weight * exp(-theta * decay_theta) * exp(-d / decay_radius), between 0 and 1, over extrema (x, y, weight,
     sx, sy) at most `cutoff` metres away; theta is 1 less the angle at the extremum between the point and its second point (sx, sy), by pi. Others
     have 0. Distances and angles are on the local plane of the point's latitude."""
-    margin = cutoff / geo.METRES_X / math.cos(math.radians(60))
-    box = lambda: F.struct(F.col("x").alias("minx"), F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy"))
-    e = extrema.withColumn("id", F.monotonically_increasing_id()).select("id", "x", "y", "weight", "sx", "sy", box().alias("box"))
-    pairs = near_pairs(e, points.select("id", "x", "y", box().alias("box")), margin, [])
-    kx = geo.METRES_X * F.cos(F.radians(F.round("b_y")))
-    off = lambda x, y: ((F.col(x) - F.col("a_x")) * kx, (F.col(y) - F.col("a_y")) * geo.METRES_Y)
-    (px, py), (qx, qy) = off("b_x", "b_y"), off("a_sx", "a_sy")
+    e = extrema.select(F.lit(0).alias("id"), "x", "y", "weight", "sx", "sy", point_box().alias("box"))
+    pairs = near_pairs(e, points.select("id", "x", "y", point_box().alias("box")), cutoff, [])
+    kx = geo.METRES_X * F.cos(F.radians(F.round("b_y", LATITUDES)))
+    px, py = (F.col("b_x") - F.col("a_x") - F.col("a_shift")) * kx, (F.col("b_y") - F.col("a_y")) * geo.METRES_Y
+    qx, qy = (F.col("a_sx") - F.col("a_x")) * kx, (F.col("a_sy") - F.col("a_y")) * geo.METRES_Y
     d, q = F.hypot(px, py), F.hypot(qx, qy)
     cosine = F.coalesce(F.try_divide(px * qx + py * qy, d * q), F.lit(1.0))
     theta = 1 - F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) / math.pi
@@ -342,6 +378,11 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.outlines(spark, sf_dir).withColumn("scene", F.floor(F.col("id") / 3)).withColumn("area", geo.spherical_area(F.col("ring")))
 
 
+def _scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scene is a block of 250 orders."""
+    return tables.outlines(spark, sf_dir).withColumn("scene", F.floor(F.col("id") / 250))
+
+
 def polygon_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area, perimeter, centre and compactness of each outline."""
     rows = measures(tables.outlines(spark, sf_dir))
@@ -371,21 +412,22 @@ def made_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outline_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of one class at most two kilometres apart."""
-    pairs = outline_distances(tables.outlines(spark, sf_dir), STITCH, ["cls"])
+    """Pairs of one scene and class at most two kilometres apart."""
+    pairs = outline_distances(_scenes(spark, sf_dir), STITCH, ["scene", "cls"])
     return pairs.select("a", "b", F.round("metres", 3).alias("metres"))
 
 
 def overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many others of its class each outline meets."""
-    pairs = outline_distances(tables.outlines(spark, sf_dir), 0.0, ["cls"])
+    """How many others of its scene and class each outline meets."""
+    pairs = outline_distances(_scenes(spark, sf_dir), 0.0, ["scene", "cls"])
     n = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).groupBy("id").agg(F.count("*").alias("overlaps"))
     return tables.outlines(spark, sf_dir).select("id").join(n, "id", "left").select("id", F.coalesce("overlaps", F.lit(0).cast("long")).alias("overlaps"))
 
 
 def stitched_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outlines stitched to detections, rolled up."""
-    return stitched(tables.outlines(spark, sf_dir)).select("component", "cls", "parts", F.round(F.col("confidence") * 600000, 4).alias("confidence"), "model_class", F.round("area", 0).alias("area"), F.round(F.col("best") * 600000, 4).alias("best"))
+    """Outlines of a scene stitched to detections, rolled up, with the area of their union."""
+    rows = stitched(_scenes(spark, sf_dir), "scene")
+    return rows.select("component", "cls", "parts", F.round(F.col("confidence") * 600000, 4).alias("confidence"), "model_class", F.round(shape_area("shape") * 1e6, 2).alias("area"), F.round(F.col("best") * 600000, 4).alias("best"))
 
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -490,7 +532,7 @@ def _pairs_sql(metres: float) -> str:
     over = " AND ".join(f"{_turn(f'{s}.a', f'{s}.e', f'{t}.a')} * {_turn(f'{s}.a', f'{s}.e', f'{t}.e')} < 0" for s, t in (("p", "q"), ("q", "p")))
     ray = lambda s, x, y: f"sum(CASE WHEN ({s}.ay > {y}) <> ({s}.ey > {y}) AND {x} < ({s}.ex - {s}.ax) * ({y} - {s}.ay) / ({s}.ey - {s}.ay) + {s}.ax THEN 1 ELSE 0 END)"
     return f"""box AS (SELECT id, cls, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min_by(y, k) AS y FROM c GROUP BY id, cls),
-pair AS (SELECT a.id AS a, b.id AS b, round((a.y + b.y) / 2) AS lat FROM box a JOIN box b ON a.cls = b.cls AND a.id < b.id AND a.x0 <= b.x1 + 0.1 AND b.x0 <= a.x1 + 0.1 AND a.y0 <= b.y1 + 0.1 AND b.y0 <= a.y1 + 0.1),
+pair AS (SELECT a.id AS a, b.id AS b, round((a.y + b.y) / 2, 2) AS lat FROM box a JOIN box b ON a.cls = b.cls AND a.id // 250 = b.id // 250 AND a.id < b.id AND a.x0 <= b.x1 + 0.1 AND b.x0 <= a.x1 + 0.1 AND a.y0 <= b.y1 + 0.1 AND b.y0 <= a.y1 + 0.1),
 met AS (SELECT pair.a, pair.b, s.id, s.k, s.ax * 111320 * cos(radians(lat)) AS ax, s.ay * 110540 AS ay, s.ex * 111320 * cos(radians(lat)) AS ex, s.ey * 110540 AS ey FROM pair JOIN side s ON s.id IN (pair.a, pair.b)),
 both_ AS (SELECT p.a, p.b, p.k AS pk, q.k AS qk, CASE WHEN {over} THEN 0 ELSE least({ends}) END AS d, q.ax AS qx, q.ay AS qy, p.ax AS ppx, p.ay AS ppy, p.ex AS pbx, p.ey AS pby, q.ex AS qbx, q.ey AS qby FROM met p JOIN met q ON p.a = q.a AND p.b = q.b AND p.id = p.a AND q.id = q.b),
 held AS (SELECT a, b FROM (SELECT p.a, p.b, {ray('p', 'q.ax', 'q.ay')} AS n FROM met p JOIN met q ON p.a = q.a AND p.b = q.b AND p.id = p.a AND q.id = q.b AND q.k = 0 GROUP BY p.a, p.b
@@ -525,11 +567,11 @@ SELECT id, round(length, 3) AS length, round(area / around, 6) AS fill_factor, l
     "outline_neighbours": _SIDES + ", " + _pairs_sql(2000) + "SELECT a, b, round(metres, 3) AS metres FROM near",
     "overlap_counts": _SIDES + ", " + _pairs_sql(0) + "SELECT o_orderkey AS id, count(a) AS overlaps FROM orders LEFT JOIN near ON o_orderkey IN (a, b) GROUP BY o_orderkey",
     "stitched_groups": _SIDES.replace("WITH c", "WITH RECURSIVE c") + ", " + _pairs_sql(2000) + """, step AS (SELECT a, b FROM near UNION SELECT b, a FROM near), reach(id, other) AS (SELECT o_orderkey, o_orderkey FROM orders UNION SELECT reach.id, step.b FROM reach JOIN step ON reach.other = step.a),
-label AS (SELECT id, min(other) AS component FROM reach GROUP BY id)
-SELECT component, min(cls) AS cls, count(*) AS parts, round(quantile_cont(confidence, 0.5) * 600000, 4) AS confidence, (SELECT min(m) FROM (SELECT id % 4 AS m, count(*) AS n, max(count(*)) OVER () AS top FROM label l2 WHERE l2.component = label.component GROUP BY id % 4) WHERE n = top) AS model_class, round(sum(area), 0) AS area, round(max(confidence) * 600000, 4) AS best
-FROM label JOIN area USING (id) GROUP BY component""",
+label AS (SELECT id, min(other) AS component FROM reach GROUP BY id), """ + strips("SELECT component AS g, id AS pid, k, ax, ay, ex, ey FROM side JOIN label USING (id)") + """
+SELECT component, min(cls) AS cls, count(*) AS parts, round(quantile_cont(confidence, 0.5) * 600000, 4) AS confidence, (SELECT min(m) FROM (SELECT id % 4 AS m, count(*) AS n, max(count(*)) OVER () AS top FROM label l2 WHERE l2.component = label.component GROUP BY id % 4) WHERE n = top) AS model_class, round(any_value(covered.area) * 1e6, 2) AS area, round(max(confidence) * 600000, 4) AS best
+FROM label JOIN area USING (id) JOIN covered ON covered.g = component GROUP BY component""",
     "places_near_outlines": _SIDES + f""", p AS ({_PLACES}), box AS (SELECT id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM c GROUP BY id),
-pair AS (SELECT p.id AS point, box.id AS outline, p.x * 111320 * cos(radians(round(p.y))) AS px, p.y * 110540 AS py, 111320 * cos(radians(round(p.y))) AS kx FROM p JOIN box ON p.x BETWEEN x0 - 0.1 AND x1 + 0.1 AND p.y BETWEEN y0 - 0.1 AND y1 + 0.1),
+pair AS (SELECT p.id AS point, box.id AS outline, p.x * 111320 * cos(radians(round(p.y, 2))) AS px, p.y * 110540 AS py, 111320 * cos(radians(round(p.y, 2))) AS kx FROM p JOIN box ON p.x BETWEEN x0 - 0.1 AND x1 + 0.1 AND p.y BETWEEN y0 - 0.1 AND y1 + 0.1),
 m AS (SELECT point, outline, px, py, ax * kx AS ax, ay * 110540 AS ay, ex * kx AS ex, ey * 110540 AS ey FROM pair JOIN side ON side.id = outline),
 d AS (SELECT point, outline, min({_end_to_side('px', 'py', '')}) AS d, sum(CASE WHEN (ay > py) <> (ey > py) AND px < (ex - ax) * (py - ay) / (ey - ay) + ax THEN 1 ELSE 0 END) % 2 AS inside FROM m GROUP BY point, outline)
 SELECT point, outline, round(CASE WHEN inside = 1 THEN 0 ELSE d END, 3) AS metres FROM d WHERE inside = 1 OR d <= 3000""",
@@ -542,7 +584,7 @@ SELECT id, points, x, weighted_x, weighted_y, start, least(e, 600) AS "end", lea
 SELECT slick, part, k AS corner, round(raw / max(raw) OVER (PARTITION BY slick), 7) AS weight FROM raw""",
     "place_scores": _SIDES + _EXTREMA + f""", w2 AS (SELECT part, k, raw / max(raw) OVER (PARTITION BY slick) AS weight FROM raw),
 e AS (SELECT c.x, c.y, weight, mx, my FROM w2 JOIN c ON c.id = part AND c.k = w2.k JOIN mid ON mid.id = part), p AS ({_PLACES}),
-near AS (SELECT p.id, weight, (p.x - e.x) * 111320 * cos(radians(round(p.y))) AS px, (p.y - e.y) * 110540 AS py, (mx - e.x) * 111320 * cos(radians(round(p.y))) AS qx, (my - e.y) * 110540 AS qy FROM p JOIN e ON p.x BETWEEN e.x - 0.1 AND e.x + 0.1 AND p.y BETWEEN e.y - 0.1 AND e.y + 0.1),
+near AS (SELECT p.id, weight, (p.x - e.x) * 111320 * cos(radians(round(p.y, 2))) AS px, (p.y - e.y) * 110540 AS py, (mx - e.x) * 111320 * cos(radians(round(p.y, 2))) AS qx, (my - e.y) * 110540 AS qy FROM p JOIN e ON p.x BETWEEN e.x - 0.1 AND e.x + 0.1 AND p.y BETWEEN e.y - 0.1 AND e.y + 0.1),
 s AS (SELECT id, max(weight * exp(-0.5 * (1 - acos(greatest(-1, least(1, (px * qx + py * qy) / sqrt((px ** 2 + py ** 2) * (qx ** 2 + qy ** 2))))) / pi())) * exp(-sqrt(px ** 2 + py ** 2) / 1500)) AS score FROM near WHERE px ** 2 + py ** 2 <= 9000000 GROUP BY id)
 SELECT p.id, round(coalesce(least(1, greatest(0, score)), 0), 7) AS score FROM p LEFT JOIN s USING (id)""",
     "endpoint_pairs": _SIDES + """, leg AS (SELECT *, sqrt((ex - ax) ** 2 + (ey - ay) ** 2) AS l, sum(sqrt((ex - ax) ** 2 + (ey - ay) ** 2)) OVER (PARTITION BY id ORDER BY k) AS upto FROM side WHERE k < n - 1),

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions import cells
 from tidewatch.functions import geometry as geo
 from tidewatch.plans.catalogue import FUNCTION_COLUMNS, view
 
@@ -139,13 +140,8 @@ def shape_metrics(at: View) -> DataFrame:
 @frame
 def radius_neighbours(at: View) -> DataFrame:
     """Detections and sites at most two kilometres apart, by cells that a site's surroundings cover."""
-    size = 0.04
-    cell = lambda x, y: F.struct(F.floor(x / size).alias("gx"), F.floor(y / size).alias("gy"))
-    d = at("customer_places").withColumn("cell", cell(F.col("lon"), F.col("lat")))
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    s = at("supplier_places").withColumn("step", F.explode(steps)).select(F.col("id").alias("site"), F.col("lon").alias("sx"), F.col("lat").alias("sy"), cell(F.col("lon") + F.col("step.i") * size, F.col("lat") + F.col("step.j") * size).alias("cell"))
-    metres = geo.haversine(F.col("lon"), F.col("lat"), F.col("sx"), F.col("sy"))
-    return d.join(s, "cell").where(metres < 2000).select(F.col("id").alias("detection"), "site", F.round(metres, 3).alias("metres"))
+    near = cells.near_places(at("customer_places"), at("supplier_places"), 2000.0, 0.04)
+    return near.select(F.col("a_id").alias("detection"), F.col("b_id").alias("site"), F.round("metres", 3).alias("metres"))
 
 
 @frame
