@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from tidewatch.functions import geometry as geo
+from tidewatch.functions import rings
 from tidewatch.operators.graph import components
-from tidewatch.operators.overlays import dissolved, shape_area, shape_of, strips
+from tidewatch.operators.overlays import dissolved, shape_area, shape_of, strips, subdivided
 from tidewatch.plans import tables
 
 RING = ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))
@@ -32,8 +33,7 @@ INCLUDED = 0.5
 
 def measures(outlines: DataFrame) -> DataFrame:
     """outlines (id, ring ...) with area, perimeter, cx, cy and polsby_popper."""
-    rows = outlines.withColumns({"area": geo.spherical_area(F.col("ring")), "perimeter": geo.perimeter(F.col("ring")), "c": geo.centroid(F.col("ring"))})
-    return rows.withColumns({"cx": F.col("c.x"), "cy": F.col("c.y"), "polsby_popper": geo.polsby_popper(F.col("area"), F.col("perimeter"))}).drop("c")
+    return rings.with_measures(outlines).withColumn("polsby_popper", geo.polsby_popper(F.col("area"), F.col("perimeter")))
 
 
 def hull(points: np.ndarray) -> np.ndarray:
@@ -76,11 +76,10 @@ def oriented_envelope(rings: pd.Series) -> pd.Series:
 
 def with_envelope(outlines: DataFrame) -> DataFrame:
     """outlines with length (the longest side of the oriented envelope in metres) and fill_factor (area by that of the envelope).
-    The envelope is found on the plane of degrees, its sides and area are measured on the sphere."""
-    e = F.col("envelope")
-    side = lambda i: geo.haversine(e[i]["x"], e[i]["y"], e[(i + 1) % 4]["x"], e[(i + 1) % 4]["y"])
-    rows = outlines.withColumn("envelope", oriented_envelope("ring"))
-    return rows.withColumns({"length": F.greatest(*map(side, range(4))), "fill_factor": geo.spherical_area(F.col("ring")) / geo.spherical_area(e)})
+    The envelope is found on the plane of degrees, its sides and area are measured on the ellipsoid."""
+    rows = rings.with_measures(outlines, "ring", {"area": "_own"}).withColumn("envelope", oriented_envelope("ring"))
+    rows = rings.with_sides(rings.with_measures(rows, "envelope", {"area": "_around"}), "envelope")
+    return rows.withColumns({"length": F.array_max("sides"), "fill_factor": F.col("_own") / F.col("_around")}).drop("_own", "_around", "sides")
 
 
 def _widened(box: Column, metres: float) -> Column:
@@ -141,9 +140,8 @@ def outline_distances(outlines: DataFrame, metres: float, same: list[str]) -> Da
     wide = _widened(F.col("a_box"), metres)
     apart = (wide["minx"] + F.col("a_shift") > F.col("b_box.maxx")) | (wide["maxx"] + F.col("a_shift") < F.col("b_box.minx")) | (wide["miny"] > F.col("b_box.maxy")) | (wide["maxy"] < F.col("b_box.miny"))
     lat = F.round((F.col("a_ring")[0]["y"] + F.col("b_ring")[0]["y"]) / 2, LATITUDES)
-    beside = geo.moved(F.col("a_ring"), F.col("a_shift"))
-    sides = lambda ring: geo.edges(geo.in_metres(ring, lat))
-    return pairs.where(~apart).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), geo.distance(sides(beside), sides(F.col("b_ring"))).alias("metres")).where(F.col("metres") <= metres)
+    near = pairs.where(~apart).withColumn("lat", lat)
+    return rings.with_distance(near, {"a_id": "a", "b_id": "b"}, "a_ring", "b_ring", "a_shift", "lat").where(F.col("metres") <= metres)
 
 
 def stitched(outlines: DataFrame, scene: str, metres: float = STITCH) -> DataFrame:
@@ -160,10 +158,8 @@ def points_near(points: DataFrame, outlines: DataFrame, metres: float) -> DataFr
     p = points.select("id", "x", "y", point_box().alias("box"))
     o = outlines.select("id", "ring", geo.box(F.col("ring")).alias("box"))
     pairs = near_pairs(o, p, metres, [])
-    lat = F.round(F.col("b_y"), LATITUDES)
-    beside = geo.moved(F.col("a_ring"), F.col("a_shift"))
-    d = geo.point_distance(geo.edges(geo.in_metres(beside, lat)), F.col("b_x") * geo.METRES_X * F.cos(F.radians(lat)), F.col("b_y") * geo.METRES_Y)
-    return pairs.select(F.col("b_id").alias("point"), F.col("a_id").alias("outline"), d.alias("metres")).where(F.col("metres") <= metres)
+    near = pairs.withColumns({"lat": F.round(F.col("b_y"), LATITUDES), "place": F.array(F.struct(F.col("b_x").alias("x"), F.col("b_y").alias("y")))})
+    return rings.with_distance(near, {"b_id": "point", "a_id": "outline"}, "a_ring", "place", "a_shift", "lat").where(F.col("metres") <= metres)
 
 
 def sites(points: DataFrame, metres: float = SITE) -> DataFrame:
@@ -174,17 +170,6 @@ def sites(points: DataFrame, metres: float = SITE) -> DataFrame:
     return points.join(components(points.select("id"), links), "id")
 
 
-def subdivided(outlines: DataFrame, size: float) -> DataFrame:
-    """(id, gx, gy, ring): outlines cut along a grid of `size` degrees, parts without area left out."""
-    box = geo.box(F.col("ring"))
-    at = lambda c: F.floor(box[c] / size)
-    rows = outlines.select("id", "ring", F.explode(F.sequence(at("minx"), at("maxx"))).alias("gx"), F.sequence(at("miny"), at("maxy")).alias("ys")).select("id", "ring", "gx", F.explode("ys").alias("gy"))
-    for axis, g in (("x", "gx"), ("y", "gy")):
-        for step, above in ((0, True), (1, False)):
-            rows = rows.withColumn("ring", geo.clipped(F.col("ring"), axis, (F.col(g) + step) * size, above)).where("size(ring) > 2")
-    return rows.where(geo.planar_area(F.col("ring")) != 0)
-
-
 def simplified(line: np.ndarray, tolerance: float) -> np.ndarray:
     """The points of a line that stay when none that goes is farther than the tolerance from what is left (Douglas and Peucker)."""
     keep = np.zeros(len(line), bool)
@@ -375,7 +360,7 @@ def line_point(line: Column, share: Column) -> Column:
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.outlines(spark, sf_dir).withColumn("scene", F.floor(F.col("id") / 3)).withColumn("area", geo.spherical_area(F.col("ring")))
+    return rings.with_measures(tables.outlines(spark, sf_dir).withColumn("scene", F.floor(F.col("id") / 3)), "ring", {"area": "area"})
 
 
 def _scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,13 +371,13 @@ def _scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def polygon_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area, perimeter, centre and compactness of each outline."""
     rows = measures(tables.outlines(spark, sf_dir))
-    return rows.select("id", F.round("area", 1).alias("area"), F.round("perimeter", 3).alias("perimeter"), F.round("cx", 7).alias("cx"), F.round("cy", 7).alias("cy"), F.round("polsby_popper", 7).alias("polsby_popper"))
+    return rows.select("id", F.round("area", 1).alias("area"), F.round("perimeter", 2).alias("perimeter"), F.round("cx", 7).alias("cx"), F.round("cy", 7).alias("cy"), F.round("polsby_popper", 7).alias("polsby_popper"))
 
 
 def oriented_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length and fill factor by the oriented envelope, and whether the long side is over a kilometre."""
     rows = with_envelope(tables.outlines(spark, sf_dir))
-    return rows.select("id", F.round("length", 3).alias("length"), F.round("fill_factor", 6).alias("fill_factor"), (F.col("length") > 1000).alias("long"))
+    return rows.select("id", F.round("length", 2).alias("length"), F.round("fill_factor", 6).alias("fill_factor"), (F.col("length") > 1000).alias("long"))
 
 
 def part_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,9 +445,9 @@ def site_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subdivided_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outlines cut along a grid; their parts have the whole area."""
-    rows = subdivided(tables.outlines(spark, sf_dir), 0.01)
-    return rows.groupBy("id").agg(F.round(F.sum(F.abs(geo.planar_area(F.col("ring")))) * 1e6, 3).alias("area"))
+    """Outlines in parts of at most six corners, which have the whole area."""
+    rows = subdivided(tables.dealt(tables.outlines(spark, sf_dir), "id").select("id", shape_of("ring")), 6)
+    return rows.groupBy("id").agg(F.round(F.sum(shape_area("shape")) * 1e6, 3).alias("area"))
 
 
 def suppressed_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -511,11 +496,24 @@ def endpoint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (polygon_measures, oriented_envelopes, part_areas, made_valid, outline_neighbours, overlap_counts, stitched_groups, places_near_outlines, site_clusters, subdivided_outlines, suppressed_outlines, simplified_outlines, extrema_points, place_scores, endpoint_pairs)}
 
 _R = "6371008.8"
+# the ellipsoid, with its greater half axis and squared eccentricity: the zone up to a latitude for each radian of longitude, and a place in space
+_E2 = "0.0066943799901413165"
+_ZONE = f"(6378137.0 ** 2 * (1 - {_E2}) / 2 * (sin(radians({{y}})) / (1 - {_E2} * sin(radians({{y}})) ** 2) + ln((1 + sqrt({_E2}) * sin(radians({{y}}))) / (1 - sqrt({_E2}) * sin(radians({{y}})))) / (2 * sqrt({_E2}))))"
+_NORMAL = f"(6378137.0 / sqrt(1 - {_E2} * sin(radians({{y}})) ** 2))"
+_SPACE = (f"{_NORMAL} * cos(radians({{y}})) * cos(radians({{x}}))", f"{_NORMAL} * cos(radians({{y}})) * sin(radians({{x}}))", f"{_NORMAL} * (1 - {_E2}) * sin(radians({{y}}))")
+
+
+def _metres(ax: str, ay: str, bx: str, by: str) -> str:
+    """Metres between places that are near each other: the straight way through the ellipsoid, bent as a sphere is."""
+    chord = " + ".join(f"(({c.format(x=bx, y=by)}) - ({c.format(x=ax, y=ay)})) ** 2" for c in _SPACE)
+    return f"(2 * {_R} * asin(sqrt({chord}) / (2 * {_R})))"
+
+
 _SIDES = f"""WITH c AS ({tables.CORNERS}), side AS (SELECT a.id, a.cls, a.confidence, a.n, a.k, a.x AS ax, a.y AS ay, b.x AS ex, b.y AS ey FROM c a JOIN c b ON a.id = b.id AND b.k = (a.k + 1) % a.n),
-area AS (SELECT id, any_value(cls) AS cls, any_value(confidence) AS confidence, abs(sum(radians(ex - ax) * (2 + sin(radians(ay)) + sin(radians(ey))))) * {_R} * {_R} / 2 AS area FROM side GROUP BY id)
+area AS (SELECT id, any_value(cls) AS cls, any_value(confidence) AS confidence, abs(sum(radians(ex - ax) * ({_ZONE.format(y='ay')} + {_ZONE.format(y='ey')}) / 2)) AS area FROM side GROUP BY id)
 """
 _HAVERSINE = f"2 * {_R} * asin(sqrt(least(1, sin(radians(({{d}}) - ({{b}})) / 2) ** 2 + cos(radians({{b}})) * cos(radians({{d}})) * sin(radians(({{c}}) - ({{a}})) / 2) ** 2)))"
-_LENGTH = _HAVERSINE.format(a="ax", b="ay", c="ex", d="ey")
+_LENGTH = _metres("ax", "ay", "ex", "ey")
 
 
 def _end_to_side(px: str, py: str, s: str) -> str:
@@ -555,13 +553,13 @@ raw AS (SELECT slick, part, k, d ** 2 * sqrt(area / (SELECT sum(area) FROM w v W
 ORACLES = {
     "polygon_measures": _SIDES + f""", m AS (SELECT id, sum({_LENGTH}) AS perimeter, sum(ax) / count(*) AS ox, sum(ay) / count(*) AS oy FROM side GROUP BY id),
 z AS (SELECT side.id, sum((ax - ox) * (ey - oy) - (ex - ox) * (ay - oy)) AS w, sum((ax + ex - 2 * ox) * ((ax - ox) * (ey - oy) - (ex - ox) * (ay - oy))) AS wx, sum((ay + ey - 2 * oy) * ((ax - ox) * (ey - oy) - (ex - ox) * (ay - oy))) AS wy FROM side JOIN m USING (id) GROUP BY side.id)
-SELECT id, round(area, 1) AS area, round(perimeter, 3) AS perimeter, round(ox + wx / (3 * w), 7) AS cx, round(oy + wy / (3 * w), 7) AS cy, round(4 * pi() * area / perimeter ** 2, 7) AS polsby_popper FROM area JOIN m USING (id) JOIN z USING (id)""",
+SELECT id, round(area, 1) AS area, round(perimeter, 2) AS perimeter, round(ox + wx / (3 * w), 7) AS cx, round(oy + wy / (3 * w), 7) AS cy, round(4 * pi() * area / perimeter ** 2, 7) AS polsby_popper FROM area JOIN m USING (id) JOIN z USING (id)""",
     "oriented_envelopes": _SIDES + f""", way AS (SELECT p.id, p.k AS i, q.k AS j, (q.x - p.x) / sqrt((q.x - p.x) ** 2 + (q.y - p.y) ** 2) AS ux, (q.y - p.y) / sqrt((q.x - p.x) ** 2 + (q.y - p.y) ** 2) AS uy FROM c p JOIN c q ON p.id = q.id AND p.k < q.k),
 rect AS (SELECT way.id, ux, uy, min(x * ux + y * uy) AS u0, max(x * ux + y * uy) AS u1, min(y * ux - x * uy) AS v0, max(y * ux - x * uy) AS v1 FROM way JOIN c ON c.id = way.id GROUP BY way.id, i, j, ux, uy),
 best AS (SELECT id, unnest(min_by(struct_pack(ux, uy, u0, u1, v0, v1), (u1 - u0) * (v1 - v0))) FROM rect GROUP BY id),
 corner AS (SELECT id, u0 * ux - v0 * uy AS x0, u0 * uy + v0 * ux AS y0, u1 * ux - v0 * uy AS x1, u1 * uy + v0 * ux AS y1, u1 * ux - v1 * uy AS x2, u1 * uy + v1 * ux AS y2, u0 * ux - v1 * uy AS x3, u0 * uy + v1 * ux AS y3 FROM best),
-size AS (SELECT id, greatest({_HAVERSINE.format(a='x0', b='y0', c='x1', d='y1')}, {_HAVERSINE.format(a='x1', b='y1', c='x2', d='y2')}, {_HAVERSINE.format(a='x2', b='y2', c='x3', d='y3')}, {_HAVERSINE.format(a='x3', b='y3', c='x0', d='y0')}) AS length, {_R} * {_R} / 2 * abs(radians(x1 - x0) * (2 + sin(radians(y0)) + sin(radians(y1))) + radians(x2 - x1) * (2 + sin(radians(y1)) + sin(radians(y2))) + radians(x3 - x2) * (2 + sin(radians(y2)) + sin(radians(y3))) + radians(x0 - x3) * (2 + sin(radians(y3)) + sin(radians(y0)))) AS around FROM corner)
-SELECT id, round(length, 3) AS length, round(area / around, 6) AS fill_factor, length > 1000 AS long FROM size JOIN area USING (id)""",
+size AS (SELECT id, greatest({_metres('x0', 'y0', 'x1', 'y1')}, {_metres('x1', 'y1', 'x2', 'y2')}, {_metres('x2', 'y2', 'x3', 'y3')}, {_metres('x3', 'y3', 'x0', 'y0')}) AS length, abs({' + '.join(f"radians(x{b} - x{a}) * ({_ZONE.format(y=f'y{a}')} + {_ZONE.format(y=f'y{b}')}) / 2" for a, b in ((0, 1), (1, 2), (2, 3), (3, 0)))}) AS around FROM corner)
+SELECT id, round(length, 2) AS length, round(area / around, 6) AS fill_factor, length > 1000 AS long FROM size JOIN area USING (id)""",
     "part_areas": _SIDES + "SELECT id // 3 AS detection, count(*) AS parts, round(max(area), 1) AS largest, round(quantile_cont(area, 0.5), 1) AS median_area, min(id) AS first_part FROM area GROUP BY id // 3",
     "made_valid": _SIDES + "SELECT id, any_value(n) AS corners, round(abs(sum(ax * ey - ex * ay)) / 2 * 1e6, 6) AS area FROM side WHERE id % 4 <> 2 GROUP BY id",
     "outline_neighbours": _SIDES + ", " + _pairs_sql(2000) + "SELECT a, b, round(metres, 3) AS metres FROM near",

@@ -31,6 +31,11 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows in as many partitions as shuffles have, whatever their bytes: for work that costs far more than moving the rows."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def micros(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
