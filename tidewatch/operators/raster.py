@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.graph import components
+from tidewatch.operators.instances import labelled
 from tidewatch.plans import tables
 
 WIDTH = 8
@@ -97,8 +98,13 @@ def class_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tile_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R2 G1: instances by three thresholds, with their pixels, largest value and mean."""
-    rows = instances(pixels(_tiles(spark, sf_dir)), 0.0, 0.05, 0.2)
+    """R2 G1: instances within tiles by three thresholds, with their pixels, largest value and mean; a tile is labelled in one pass."""
+    tiles = _tiles(spark, sf_dir).select("tile", F.transform("values", lambda v: v.cast("double")).alias("values"))
+    rows = labelled(tiles, 0.0)
+    best = F.transform(F.filter("found", lambda f: f["best"] >= 0.2), lambda f: f["label"])
+    rows = rows.withColumn("kept", best).select("tile", "kept", F.posexplode(F.arrays_zip("values", "labels")).alias("at", "p"))
+    rows = rows.select("tile", F.col("p.labels").alias("instance"), F.col("p.values").alias("value"), (F.col("at") % WIDTH).alias("x"), F.floor(F.col("at") / WIDTH).cast("int").alias("y"), "kept")
+    rows = rows.where("array_contains(kept, instance) and value >= 0.05")
     return rows.groupBy("tile", "instance").agg(F.count("*").alias("n"), F.round(F.max("value"), 7).alias("best"), F.round(F.avg("value"), 7).alias("mean"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
 
 

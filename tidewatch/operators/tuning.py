@@ -1,7 +1,7 @@
 """Tuning of scores against reviewed truths: weight sweeps, grids and their minimax choice, decays, kernels, coordinate ascent.
 
-A grid of parameters is an array of constants that each row is exploded by, so its cost is rows by grid points; ranks
-are windows within one grid point and detection.
+Candidates are moved once, by detection; a grid of parameters is an array of constants that each row is exploded by where it is. Ranks
+are windows within one grid point and detection, which that partitioning serves.
 """
 
 from collections.abc import Callable
@@ -28,14 +28,14 @@ def rank_measures(rows: DataFrame, by: list[str]) -> DataFrame:
 def weight_measures(candidates: DataFrame, weights: list[float]) -> DataFrame:
     """For each weight of the temporal score, the other two having 2 and 1, mean rank and top-3 share of the truths of candidates
     (slick, source, truth, temporal, proximity, parity)."""
-    rows = candidates.withColumn("w", F.explode(F.array(*map(F.lit, weights))))
+    rows = candidates.repartition("slick").withColumn("w", F.explode(F.array(*map(F.lit, weights))))
     return rank_measures(ranked(rows, (F.col("w") * F.col("temporal") + 2 * F.col("proximity") + F.col("parity")) / (3 + F.col("w")), ["w", "slick"]), ["w"])
 
 
 def grid_measures(candidates: DataFrame, grid: list[tuple[float, float]], adjusted: int) -> DataFrame:
     """For each (mu, sd) of the grid that the scores of type `adjusted` are standardised by, and each type of truth, mean rank and top-3 share."""
     point = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("mu"), F.lit(s).alias("sd")) for i, (m, s) in enumerate(grid)]))
-    rows = candidates.withColumn("g", point).select("*", "g.*").drop("g")
+    rows = candidates.repartition("slick").withColumn("g", point).select("*", "g.*").drop("g")
     score = F.when(F.col("type") == adjusted, (F.col("score") - F.col("mu")) / F.col("sd")).otherwise(F.col("score"))
     return rank_measures(ranked(rows, score, ["i", "slick"]), ["i", "mu", "sd", "type"])
 

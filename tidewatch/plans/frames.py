@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import cells
 from tidewatch.functions import geometry as geo
+from tidewatch.operators.graph import lineage
 from tidewatch.plans.catalogue import FUNCTION_COLUMNS, view
 
 FRAMES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -254,3 +255,36 @@ def map_class(at: View) -> DataFrame:
     rows = at("slick").select("id", F.try_element_at(names, (F.col("id") % 4).cast("int")).alias("short_name"))
     rows = rows.join(F.broadcast(at("cls").select("short_name", F.col("id").alias("own"))), "short_name", "left")
     return rows.select("id", F.coalesce(F.when(F.col("id") % 10 == 0, F.lit(9)), "own").alias("cls"))
+
+
+def precursors(slicks: DataFrame) -> DataFrame:
+    """(id, pre): what each detection was made from."""
+    rows = slicks.select("id", F.explode(F.filter(F.array(F.floor(F.col("id") / 2), F.when(F.col("id") % 5 == 0, F.floor(F.col("id") / 3))), lambda x: x > 0)).alias("pre"))
+    return rows.select("id", F.col("pre").cast("long").alias("pre"))
+
+
+@frame
+def slick_history(at: View) -> DataFrame:
+    """How often the lineages of all detections reach each one."""
+    slicks = at("slick").select("id")
+    return lineage(slicks, precursors(slicks), by_start=False).select("id", F.col("paths").alias("reached"))
+
+
+@frame
+def collation_grid(at: View) -> DataFrame:
+    """Candidates are moved once, by detection, and multiplied by the grid where they are."""
+    point = F.explode(F.array(*[F.struct(F.lit(m).alias("mu"), F.lit(s).alias("sd")) for m in (0.2, 0.5, 0.8) for s in (0.1, 0.3)]))
+    rows = at("truth").repartition("slick").withColumn("g", point).select("*", "g.*")
+    score = F.when(F.col("type") == 1, (F.col("score") - F.col("mu")) / F.col("sd")).otherwise(F.col("score"))
+    r = F.row_number().over(Window.partitionBy("mu", "sd", "slick").orderBy(score.desc_nulls_last(), "source", "truth"))
+    truths = rows.withColumn("r", r).where("truth")
+    return truths.groupBy("mu", "sd").agg(F.round(F.avg("r"), 8).alias("mean_rank"), F.round(F.avg((F.col("r") <= 3).cast("double")), 8).alias("top3"))
+
+
+@frame
+def optimizer_grid(at: View) -> DataFrame:
+    rows = at("truth").repartition("slick").withColumn("mu", F.explode(F.array(*map(F.lit, (-0.5, 0.0, 0.5, 1.0)))))
+    score = F.when(F.col("type") == 2, F.col("score") - F.col("mu")).otherwise(F.col("score"))
+    of = Window.partitionBy("mu", "slick")
+    rows = rows.withColumns({"r": F.row_number().over(of.orderBy(score.desc_nulls_last(), "source", "truth")), "has": F.bool_or("truth").over(of)}).where("r = 1 and has")
+    return rows.groupBy("mu").agg(F.round(F.avg(F.col("truth").cast("double")), 8).alias("share"))
