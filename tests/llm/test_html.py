@@ -38,6 +38,13 @@ SHAPES = {
     "hidden": (f'<article>{BODY}<div style="display: none"><p>not, to be, seen</p></div><p hidden>nor, this, one</p></article>', TEXT),
     "upper case tags": (f"<ARTICLE><P>{LEAD}</P><P CLASS='x'>{MORE}</P><SCRIPT>1</SCRIPT><P>{LAST}</P></ARTICLE>", TEXT),
     "quoted brackets": (f'<article><p title="a > b">{LEAD}</p><p>{MORE}</p><p>{LAST}</p></article>', TEXT),
+    "page in a form": (f'<body><form id="aspnetForm" action="x">{NAV}<div><h1>Berth</h1>{BODY}</div><input name="x">{FOOT}</form></body>', f"Berth\n\n{TEXT}"),
+    "page in an aside": (f"<body><aside>{BODY}</aside></body>", TEXT),
+    "more stories": (f'<article>{BODY}<div class="more-stories"><h3>More stories</h3><ul><li><a href="1">One fish, two fish</a></li><li><a href="2">Red fish, blue fish</a></li></ul></div></article>', TEXT),
+    "links in a list of the text": (f'<article><p>{LEAD}</p><ul><li>cod, by <a href="1">boat</a>, at dawn</li><li>ling, by <a href="2">net</a>, at dusk</li></ul><p>{MORE}</p></article>', f"{LEAD}\n\ncod, by boat, at dawn\n\nling, by net, at dusk\n\n{MORE}"),
+    "opinions": (f'<article>{BODY}<div id="reader-opinions"><p>I, for one, disagree, strongly</p></div></article>', TEXT),
+    "feedback beside the article": (f'<article>{BODY}</article><p class="feedback">I, for one, disagree, strongly, as this is more than eighty characters long, or so it seems</p>', TEXT),
+    "stray cdata": (f"<article><p>{LEAD}</p><![CDATA[ no end ><p>{MORE}</p><p>{LAST}</p></article>", TEXT),
     "share links": (f'<article>{BODY}<div class="share"><a href="#">Tell, a, friend</a></div></article>', TEXT),
 }
 

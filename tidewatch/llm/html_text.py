@@ -24,17 +24,22 @@ RAW = frozenset("script style textarea title noscript template iframe svg math o
 RAW_END = {x: re.compile(f"</{x}", re.I | re.A) for x in RAW}
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: What never belongs to an article.
-JUNK = frozenset("head nav footer aside form button select menu dialog input label fieldset datalist".split())
+JUNK = frozenset("head nav footer button select input datalist".split())
+#: What rather doesn't, but may hold all of a page, as a form does where a server's framework wraps each page in one.
+DOUBTFUL = frozenset("aside form menu dialog label fieldset".split())
 #: Words in class, id or role that mark what isn't an article.
-JUNK_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside footer masthead topbar toolbar cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall share sharing social related recommended recommendations trending comment comments commentlist disqus respond reply replies pagination pager widget widgets search complementary contentinfo dialog form copyright disclaimer skip".split())
+JUNK_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside footer masthead topbar toolbar cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall share sharing social related recommended recommendations trending comment comments commentlist disqus respond reply replies opinions feedback pagination pager widget widgets search complementary contentinfo dialog form copyright disclaimer skip".split())
 #: Words of reader comments among them.
-COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies opinions feedback".split())
 #: What a class says of the page and not of its element: has-sidebar, comments-open, search-result.
 SAYS_OF_PAGE = re.compile(r"(?:has|have|with|without|no|is|not)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|result|results|on|off)", re.I)
 #: An element with such words stays, at half its points, if it has so many times the text (links aside) of all the page
 #: outside elements like it; reader comments, if there is so little text outside.
 RATHER_ARTICLE = 4
 LEAST_OUTSIDE = 25
+#: Blocks of the article go, as menus do, if they have so many links, and so large a share of their text in them.
+LINKS, LINKED = 2, 0.6
+LISTED = frozenset("div section ul ol dl table".split())
 #: Where such words say nothing about the element's own kind.
 TRUSTED = frozenset("html body article main".split())
 CLOSED_BY = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -45,20 +50,20 @@ PARAGRAPHS = frozenset("p pre blockquote td li dd div section article main figca
 
 
 class Node:
-    __slots__ = ("commas", "direct", "doubt", "junk", "kids", "length", "links", "parent", "points", "tag")
+    __slots__ = ("anchors", "commas", "direct", "doubt", "junk", "kids", "length", "links", "parent", "points", "tag")
 
     def __init__(self, tag, parent, junk=False, doubt=""):
         self.tag, self.parent, self.junk, self.doubt, self.kids = tag, parent, junk, doubt, []
-        self.points, self.length, self.links, self.direct, self.commas = 0.0, 0, 0, 0, 0
+        self.points, self.length, self.links, self.direct, self.commas, self.anchors = 0.0, 0, 0, 0, 0, 0
 
 
 def _junk(tag: str, attrs: str, in_article: bool) -> tuple[bool, str]:
     """Whether an element can't belong to an article, and the words in class, id or role for which it rather doesn't."""
     if tag in JUNK or tag == "header" and not in_article:
         return True, ""
+    doubt = "other" if tag in DOUBTFUL else ""
     if not attrs or tag in TRUSTED:
-        return False, ""
-    doubt = ""
+        return False, doubt
     for name, value in ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -96,10 +101,6 @@ def _tokens(page: str):
             end = page.find("-->", start + 4)
             at = end + 3 if end >= 0 else n
             continue
-        if page.startswith("<![CDATA[", start):
-            end = page.find("]]>", start)
-            at = end + 3 if end >= 0 else n
-            continue
         close = page.startswith("/", start + 1)
         m = TAG_NAME.match(page, start + 1 + close)
         if not m:
@@ -211,6 +212,7 @@ def _measure(root: Node) -> list[Node]:
             elif not kid.junk:
                 node.length += kid.length
                 node.links += kid.length if kid.tag == "a" else kid.links
+                node.anchors += kid.anchors + (kid.tag == "a")
                 if kid.tag not in BLOCK:
                     node.direct += kid.direct
                     node.commas += kid.commas
@@ -229,6 +231,10 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
+def _link_list(node: Node) -> bool:
+    return node.tag in LISTED and node.anchors >= LINKS and node.links >= LINKED * node.length
+
+
 def _blocks(node: Node, out: list[str], line: list[str]) -> None:
     """Appends the texts of the blocks below node in page order."""
     todo: list = [node]
@@ -243,7 +249,7 @@ def _blocks(node: Node, out: list[str], line: list[str]) -> None:
             line.append(x)
         elif x.tag == "br":
             line.append(" ")
-        elif not x.junk:
+        elif not x.junk and (x is node or not _link_list(x)):
             edge = x.tag in BLOCK
             if edge:
                 todo.append(None)
