@@ -393,7 +393,7 @@ def made_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rings with repeated corners, closed and clockwise ones put right; what has no area goes."""
     spoilt = F.when(F.col("id") % 4 == 0, F.reverse(F.concat("ring", F.slice("ring", 1, 1)))).when(F.col("id") % 4 == 1, F.flatten(F.transform("ring", lambda p: F.array(p, p)))).when(F.col("id") % 4 == 2, F.slice("ring", 1, 2)).otherwise(F.col("ring"))
     rows = tables.outlines(spark, sf_dir).select("id", geo.normalised(spoilt).alias("ring")).where("ring is not null")
-    return rows.select("id", F.size("ring").cast("long").alias("corners"), F.round(geo.planar_area(F.col("ring")) * 1e6, 6).alias("area"))
+    return rows.select("id", F.size("ring").cast("long").alias("corners"), F.round(geo.planar_area(F.col("ring")) * 1e6, 5).alias("area"))
 
 
 def outline_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -561,7 +561,7 @@ corner AS (SELECT id, u0 * ux - v0 * uy AS x0, u0 * uy + v0 * ux AS y0, u1 * ux
 size AS (SELECT id, greatest({_metres('x0', 'y0', 'x1', 'y1')}, {_metres('x1', 'y1', 'x2', 'y2')}, {_metres('x2', 'y2', 'x3', 'y3')}, {_metres('x3', 'y3', 'x0', 'y0')}) AS length, abs({' + '.join(f"radians(x{b} - x{a}) * ({_ZONE.format(y=f'y{a}')} + {_ZONE.format(y=f'y{b}')}) / 2" for a, b in ((0, 1), (1, 2), (2, 3), (3, 0)))}) AS around FROM corner)
 SELECT id, round(length, 2) AS length, round(area / around, 6) AS fill_factor, length > 1000 AS long FROM size JOIN area USING (id)""",
     "part_areas": _SIDES + "SELECT id // 3 AS detection, count(*) AS parts, round(max(area), 1) AS largest, round(quantile_cont(area, 0.5), 1) AS median_area, min(id) AS first_part FROM area GROUP BY id // 3",
-    "made_valid": _SIDES + "SELECT id, any_value(n) AS corners, round(abs(sum(ax * ey - ex * ay)) / 2 * 1e6, 6) AS area FROM side WHERE id % 4 <> 2 GROUP BY id",
+    "made_valid": _SIDES + ", o AS (SELECT id, x AS ox, y AS oy FROM c WHERE k = 0) SELECT id, any_value(n) AS corners, round(abs(sum((ax - ox) * (ey - oy) - (ex - ox) * (ay - oy))) / 2 * 1e6, 5) AS area FROM side JOIN o USING (id) WHERE id % 4 <> 2 GROUP BY id",
     "outline_neighbours": _SIDES + ", " + _pairs_sql(2000) + "SELECT a, b, round(metres, 3) AS metres FROM near",
     "overlap_counts": _SIDES + ", " + _pairs_sql(0) + "SELECT o_orderkey AS id, count(a) AS overlaps FROM orders LEFT JOIN near ON o_orderkey IN (a, b) GROUP BY o_orderkey",
     "stitched_groups": _SIDES.replace("WITH c", "WITH RECURSIVE c") + ", " + _pairs_sql(2000) + """, step AS (SELECT a, b FROM near UNION SELECT b, a FROM near), reach(id, other) AS (SELECT o_orderkey, o_orderkey FROM orders UNION SELECT reach.id, step.b FROM reach JOIN step ON reach.other = step.a),
@@ -577,7 +577,7 @@ SELECT point, outline, round(CASE WHEN inside = 1 THEN 0 ELSE d END, 3) AS metre
 reach(id, other) AS (SELECT id, id FROM p UNION SELECT reach.id, step.b FROM reach JOIN step ON reach.other = step.a), label AS (SELECT id, min(other) AS component FROM reach GROUP BY id),
 g AS (SELECT min(id) AS id, count(*) AS points, round(avg(x), 7) AS x, round(CASE WHEN sum(days) > 0 THEN sum(x * days) / sum(days) ELSE avg(x) END, 7) AS weighted_x, round(CASE WHEN sum(days) > 0 THEN sum(y * days) / sum(days) ELSE avg(y) END, 7) AS weighted_y, min(s) AS start, max(e) AS e, bool_or(oil) AS oil FROM label JOIN p USING (id) GROUP BY component)
 SELECT id, points, x, weighted_x, weighted_y, start, least(e, 600) AS "end", least(e, 600) - start >= 183 AS persistent, 600 - least(e, 600) <= 31 AS visible, 600 - least(e, 600) <= 366 AS current FROM g WHERE start <= 600 AND oil""",
-    "subdivided_outlines": _SIDES + "SELECT id, round(abs(sum(ax * ey - ex * ay)) / 2 * 1e6, 3) AS area FROM side GROUP BY id",
+    "subdivided_outlines": _SIDES + ", o AS (SELECT id, x AS ox, y AS oy FROM c WHERE k = 0) SELECT id, round(abs(sum((ax - ox) * (ey - oy) - (ex - ox) * (ay - oy))) / 2 * 1e6, 3) AS area FROM side JOIN o USING (id) GROUP BY id",
     "extrema_points": _SIDES + _EXTREMA + """
 SELECT slick, part, k AS corner, round(raw / max(raw) OVER (PARTITION BY slick), 7) AS weight FROM raw""",
     "place_scores": _SIDES + _EXTREMA + f""", w2 AS (SELECT part, k, raw / max(raw) OVER (PARTITION BY slick) AS weight FROM raw),
