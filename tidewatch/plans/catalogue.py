@@ -95,7 +95,9 @@ QUERIES: dict[str, tuple[str, str]] = {
     "slicks_by_source": ("Q5 J6 F4 F5: detections linked with any of some sources up to a rank", f"SELECT {FUNCTION_COLUMNS} FROM slick_plus p LEFT SEMI JOIN (SELECT slick FROM link WHERE active AND source IN (1, 2, 3) AND link_rank <= 2) AS l ON l.slick = p.id"),
     "slicks_by_aoi": ("Q6 J6: detections in some areas above a score", f"SELECT {FUNCTION_COLUMNS} FROM slick_plus p LEFT SEMI JOIN (SELECT slick FROM slick_to_aoi WHERE aoi IN (3, 7)) AS a ON a.slick = p.id WHERE p.max_score >= 0.5e0"),
     "slicks_by_aoi_or_source": ("Q4 T2: no area given; the sentinel OR binds looser than the rank test", f"SELECT {FUNCTION_COLUMNS} FROM slick_plus p LEFT SEMI JOIN (SELECT slick FROM link WHERE active AND ('1,5' = 'NULL' OR source IN (1, 5) AND link_rank <= 1)) AS l ON l.slick = p.id WHERE p.max_score >= 0e0"),
-    "cls_subtree": ("Q8 G2: a class and all below it", "WITH RECURSIVE t(id, short_name, supercls) AS (SELECT id, short_name, supercls FROM cls WHERE id = 2 UNION ALL SELECT c.id, c.short_name, c.supercls FROM cls c JOIN t ON c.supercls = t.id) SELECT DISTINCT id, short_name, supercls FROM t"),
+    "cls_subtree": ("Q8 G2: each class of the upper two levels with all below it", """
+        WITH RECURSIVE n(id, supercls) AS (SELECT CAST(r_regionkey AS BIGINT), CAST(NULL AS BIGINT) FROM region UNION ALL SELECT 1000 + n_nationkey, n_regionkey FROM nation UNION ALL SELECT 1000000 + c_custkey, 1000 + c_nationkey FROM customer),
+          t(root, id, supercls) AS (SELECT id, id, supercls FROM n WHERE id < 1000000 UNION ALL SELECT t.root, n.id, n.supercls FROM n JOIN t ON n.supercls = t.id) SELECT DISTINCT root, id, supercls FROM t"""),
     "slick_history": ("Q7 G3: lineage through precursors from every detection; what is reached twice counts twice", "WITH RECURSIVE p(id, pre) AS (SELECT id, CAST(floor(id / 2e0) AS BIGINT) FROM slick UNION ALL SELECT id, CAST(floor(id / 3e0) AS BIGINT) FROM slick WHERE id % 5 = 0 UNION ALL SELECT 0, 0 FROM region WHERE 1 = 0), h(id) AS (SELECT id FROM slick UNION ALL SELECT p.pre FROM h JOIN p ON p.id = h.id WHERE p.pre > 0) SELECT h.id, count(*) AS reached FROM h GROUP BY h.id"),
     "latest_review": ("J2 W8: the newest review of each detection", "SELECT slick, cls, ts FROM latest_review"),
     "not_oil_exclusion": ("F2 J22: anti join with a class subtree", "SELECT s.id, s.cls FROM slick s LEFT ANTI JOIN not_oil n ON s.cls = n.id WHERE s.active"),
@@ -179,9 +181,13 @@ QUERIES: dict[str, tuple[str, str]] = {
     "api_items_page": ("F11 T17: bounding box, time range, filter, sort and page", "SELECT p.id, s.ts, p.lon, p.lat FROM place p JOIN slick s ON s.id = p.id WHERE p.lon BETWEEN least(10.9e0, 19.7e0) AND greatest(10.9e0, 19.7e0) AND p.lat BETWEEN least(42.3e0, 36.1e0) AND greatest(42.3e0, 36.1e0) AND s.area > 1000 ORDER BY s.ts DESC, p.id LIMIT 20 OFFSET 5"),
     "api_items_count": ("F11: numberMatched of a page", "SELECT count(*) AS number_matched FROM place p JOIN slick s ON s.id = p.id WHERE p.lon BETWEEN 10.9e0 AND 19.7e0 AND p.lat BETWEEN 36.1e0 AND 42.3e0 AND s.area > 1000"),
     "api_like": ("F11 X2: LIKE on lower case", "SELECT id, name FROM source WHERE lower(name) LIKE '%00001%'"),
-    "version_filter": ("X6: versions compared by their parts", "SELECT v FROM (VALUES ('1.9.9'), ('1.10.0'), ('1.1.3'), ('2.0.0')) AS t(v) WHERE CAST($part(v, 1) AS INT) * 1000000 + CAST($part(v, 2) AS INT) * 1000 + CAST($part(v, 3) AS INT) > 1009009"),
-    "i18n_seed": ("D10 S11 F9: fields melted by entity and locale, rows without any left out", "SELECT entity, locale, max(name) AS name, max(description) AS description FROM (SELECT id AS entity, CASE WHEN id % 2 = 0 THEN 'es' ELSE 'fr' END AS locale, short_name AS name, CAST(NULL AS STRING) AS description FROM cls UNION ALL SELECT id, CASE WHEN id % 2 = 0 THEN 'es' ELSE 'fr' END, NULL, lower(short_name) FROM cls WHERE id % 3 = 0) AS x WHERE name IS NOT NULL OR description IS NOT NULL GROUP BY entity, locale"),
-    "locale_chain": ("G4 K4: fallbacks of locales, in the order they resolve", "WITH RECURSIVE l(code, fallback) AS (SELECT code, fallback FROM (VALUES ('en', CAST(NULL AS STRING)), ('es', 'en'), ('es-MX', 'es'), ('fr', 'en'), ('pt', 'es'), ('pt-BR', 'pt')) AS v(code, fallback) UNION ALL SELECT code, fallback FROM l WHERE 1 = 0), t(code, depth) AS (SELECT code, 0 FROM l WHERE fallback IS NULL UNION ALL SELECT l.code, t.depth + 1 FROM l JOIN t ON l.fallback = t.code) SELECT code, depth FROM t"),
+    "version_filter": ("X6: versions compared by their parts", """
+        SELECT id, v FROM (SELECT p_partkey AS id, concat(p_partkey % 3, '.', p_partkey % 13, '.', p_size % 11) AS v FROM part) AS t WHERE CAST($part(v, 1) AS INT) * 1000000 + CAST($part(v, 2) AS INT) * 1000 + CAST($part(v, 3) AS INT) > 1009009"""),
+    "i18n_seed": ("D10 S11 F9: fields melted by entity and locale, rows without any left out", """
+        SELECT entity, locale, max(name) AS name, max(description) AS description FROM (SELECT source AS entity, lang AS locale, CASE WHEN n_chars > 3000 THEN CAST(doc_id AS STRING) END AS name, CAST(NULL AS STRING) AS description FROM documents
+          UNION ALL SELECT source, lang, NULL, CASE WHEN n_chars < 100 THEN CAST(n_chars AS STRING) END FROM documents) AS x WHERE name IS NOT NULL OR description IS NOT NULL GROUP BY entity, locale"""),
+    "locale_chain": ("G4 K4: fallbacks of codes, in the order they resolve", """
+        WITH RECURSIVE l(code, fallback) AS (SELECT p_partkey, nullif(CAST(floor(p_partkey / 3e0) AS BIGINT), 0) FROM part), t(code, depth) AS (SELECT code, 0 FROM l WHERE fallback IS NULL UNION ALL SELECT l.code, t.depth + 1 FROM l JOIN t ON l.fallback = t.code) SELECT code, depth FROM t"""),
     "map_class": ("J19: class by model index and name, an explicit one first", "SELECT s.id, coalesce(CASE WHEN s.id % 10 = 0 THEN 9 END, c.id) AS cls FROM slick s LEFT JOIN (VALUES (1, 'INFRA'), (2, 'NATURAL'), (3, 'VESSEL')) AS m(idx, short_name) ON m.idx = s.id % 4 LEFT JOIN cls c ON c.short_name = m.short_name"),
     "hitl_merge": ("D2 A13: detections merged into one with joined notes", "SELECT run, min(ts) AS first_ts, max(ts) AS last_ts, round(sum(area), 4) AS area, count(*) AS n, $join(id) AS precursors FROM slick WHERE active GROUP BY run"),
     "hitl_split": ("D3: a detection split in parts with lineage, the old one inactive", "SELECT s.id AS precursor, s.id * 10 + k.k AS id, round(s.area / 3, 6) AS area, true AS active FROM slick s, (VALUES (0), (1), (2)) AS k(k) WHERE s.cls = 9 UNION ALL SELECT CAST(NULL AS BIGINT), id, round(area, 6), false FROM slick WHERE cls = 9"),

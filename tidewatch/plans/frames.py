@@ -288,3 +288,34 @@ def optimizer_grid(at: View) -> DataFrame:
     of = Window.partitionBy("mu", "slick")
     rows = rows.withColumns({"r": F.row_number().over(of.orderBy(score.desc_nulls_last(), "source", "truth")), "has": F.bool_or("truth").over(of)}).where("r = 1 and has")
     return rows.groupBy("mu").agg(F.round(F.avg(F.col("truth").cast("double")), 8).alias("share"))
+
+
+@frame
+def cls_subtree(at: View) -> DataFrame:
+    """Down the tree from every class of the upper two levels at once."""
+    n = at("region").select(F.col("r_regionkey").cast("long").alias("id"), F.lit(None).cast("long").alias("supercls"))
+    n = n.union(at("nation").select((1000 + F.col("n_nationkey")).cast("long"), F.col("n_regionkey").cast("long")))
+    n = n.union(at("customer").select(1000000 + F.col("c_custkey"), (1000 + F.col("c_nationkey")).cast("long")))
+    below = lineage(n.where("id < 1000000").select("id"), n.select(F.col("supercls").alias("id"), F.col("id").alias("pre")))
+    return below.join(n, "id").select(F.col("start").alias("root"), "id", "supercls")
+
+
+@frame
+def version_filter(at: View) -> DataFrame:
+    """Versions are compared as arrays of their numbers."""
+    p = at("part").select(F.col("p_partkey").alias("id"), F.concat_ws(".", F.col("p_partkey") % 3, F.col("p_partkey") % 13, F.col("p_size") % 11).alias("v"))
+    return p.where(F.split("v", "[.]").cast("array<int>") > F.array(F.lit(1), F.lit(9), F.lit(9)))
+
+
+@frame
+def i18n_seed(at: View) -> DataFrame:
+    d = at("documents").select(F.col("source").alias("entity"), F.col("lang").alias("locale"), F.when(F.col("n_chars") > 3000, F.col("doc_id").cast("string")).alias("name"), F.when(F.col("n_chars") < 100, F.col("n_chars").cast("string")).alias("description"))
+    return d.groupBy("entity", "locale").agg(F.max("name").alias("name"), F.max("description").alias("description")).where("name is not null or description is not null")
+
+
+@frame
+def locale_chain(at: View) -> DataFrame:
+    """A code's depth is how many it falls back on."""
+    codes = at("part").select(F.col("p_partkey").alias("id"))
+    chain = lineage(codes, codes.select("id", F.floor(F.col("id") / 3).alias("pre")).where("pre > 0"))
+    return chain.groupBy(F.col("start").alias("code")).agg((F.count("*") - 1).cast("int").alias("depth"))

@@ -6,6 +6,7 @@ They are here because the plain SQL would meet all pairs, one task or a whole ta
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions import cells
 from tidewatch.functions import geometry as geo
 from tidewatch.operators.ranking import numbered
 from tidewatch.plans import tables
@@ -62,7 +63,7 @@ def seaice_fallback_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cells(lon: Column, lat: Column, size: float, around: int) -> Column:
     steps = F.sequence(F.lit(-around), F.lit(around))
     gx, gy = F.floor(lon / size), F.floor(lat / size)
-    return F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct((gx + i).alias("gx"), (gy + j).alias("gy")))))
+    return F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct(F.pmod(gx + i, F.lit(round(360 / size))).alias("gx"), (gy + j).alias("gy")))))
 
 
 def dark_detections(detections: DataFrame, sites: DataFrame) -> DataFrame:
@@ -70,13 +71,12 @@ def dark_detections(detections: DataFrame, sites: DataFrame) -> DataFrame:
     present by more than 0.99, longer than 30 m, and without a structure less than 100 m away. Of a structure's positions
     (structure, lon, lat, confidence) near any unmatched detection the most confident one counts."""
     size = 0.001
-    unmatched = detections.where("match_score < 0.01").withColumn("cell", F.struct(F.floor(F.col("lon") / size).alias("gx"), F.floor(F.col("lat") / size).alias("gy")))
+    unmatched = detections.where("match_score < 0.01").withColumn("cell", cells.cell(F.col("lon"), F.col("lat"), size))
     wide = sites.withColumn("cell", F.explode(_cells(F.col("lon"), F.col("lat"), size, 1)))
     seen = unmatched.select("cell", F.col("lon").alias("dx"), F.col("lat").alias("dy"))
     near = wide.join(seen, "cell").where((F.abs(F.col("lon") - F.col("dx")) < size) & (F.abs(F.col("lat") - F.col("dy")) < size))
     one = near.groupBy("structure").agg(F.min_by(F.struct("lon", "lat"), F.struct(-F.col("confidence"), "lon", "lat")).alias("p")).select("structure", F.col("p.lon").alias("sx"), F.col("p.lat").alias("sy"))
-    # 100 m are less than two cells of latitude, and of longitude up to 60 degrees
-    one = one.withColumn("cell", F.explode(_cells(F.col("sx"), F.col("sy"), size, 2)))
+    one = one.withColumn("cell", F.explode(cells.surroundings(F.col("sx"), F.col("sy"), 100.0, size)))
     wanted = unmatched.where("length_m > 30 and presence > 0.99")
     close = (wanted["cell"] == one["cell"]) & (geo.haversine(wanted["lon"], wanted["lat"], one["sx"], one["sy"]) < 100)
     return wanted.join(one, close, "left_anti").drop("cell")

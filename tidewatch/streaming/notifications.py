@@ -36,8 +36,8 @@ def tasks(events: DataFrame, late: str = "1 day") -> DataFrame:
 
 
 def alert_counts(events: DataFrame, least: int = 1) -> DataFrame:
-    """Events of each type in windows of 24 hours, with an alert where there are more than `least`."""
-    n = events.groupBy(F.window("ts", "24 hours"), "event_type").agg(F.count("*").alias("n"))
+    """Events of each type in the 24 hours before each day's 08:00, with an alert where there are more than `least`; day: on which they begin."""
+    n = events.groupBy(F.window("ts", "24 hours", "24 hours", "8 hours"), "event_type").agg(F.count("*").alias("n"))
     return n.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n", (F.col("n") > least).alias("alert"))
 
 
@@ -70,7 +70,7 @@ def stream_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (stream_alert_counts, stream_scene_filter, stream_tasks)}
 ORACLES = {
-    "stream_alert_counts": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, count(*) > 1 AS alert FROM events GROUP BY 1, 2",
+    "stream_alert_counts": "SELECT strftime(ts - INTERVAL 8 HOUR, '%Y-%m-%d') AS day, event_type, count(*) AS n, count(*) > 1 AS alert FROM events GROUP BY 1, 2",
     "stream_scene_filter": "SELECT event_id, user_id FROM events WHERE event_id % 3 <> 0 AND event_id % 5 <> 0 AND event_id % 2 = 0",
     "stream_tasks": "SELECT DISTINCT concat('asa-', user_id, '-', substr(sha256(event_type), 1, 10), '-', strftime(ts, '%Y%m%d')) AS task_id FROM events",
 }
