@@ -118,7 +118,7 @@ def near_pairs(left: DataFrame, right: DataFrame, metres: float, same: list[str]
     """
     wide = _widened(F.col("box"), metres)
     moved = lambda b: F.struct(*[(b[c] + F.col("shift") if c[-1] == "x" else b[c]).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
-    shifts = F.filter(F.array(F.lit(0.0), F.when(F.col("wide.minx") < -180, 360.0), F.when(F.col("wide.maxx") > 180, -360.0)), lambda x: x.isNotNull())
+    shifts = F.filter(F.array(F.lit(0.0), F.when(F.col("wide.minx") <= -180, 360.0), F.when(F.col("wide.maxx") >= 180, -360.0)), lambda x: x.isNotNull())
     a = left.withColumn("wide", wide).withColumn("shift", F.explode(shifts)).withColumn("wide", moved(F.col("wide"))).withColumn("level", _level(F.col("wide")))
     b = right.withColumn("wide", F.col("box")).withColumn("level", _level(F.col("wide")))
     a, b = (x.withColumnsRenamed({c: f"{n}_{c}" for c in x.columns}) for n, x in (("a", _celled(a, b)), ("b", _celled(b, a))))
