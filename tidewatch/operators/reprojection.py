@@ -185,7 +185,7 @@ SELECT a.id, any_value(a.code) AS epsg, round(abs(sum(a.e * b.n - b.e * a.n)) /
 FROM q a JOIN q b ON a.id = b.id AND b.k = (a.k + 1) % a.corners GROUP BY a.id""",
     "zone_places": f"""{_RING}, p AS (SELECT id, k, x AS lon, y AS lat, {_CODE.format(x="x", y="y")} AS code FROM c),
 a AS ({_zone_sql("SELECT * FROM p")}), b AS ({_zone_sql("SELECT id, k, lon, lat, code + 1 AS code FROM p")})
-SELECT a.id, a.k, a.code AS epsg, round(a.e, 3) AS x, round(a.n, 3) AS y, round(b.e, 3) AS east_x, round(b.n, 3) AS east_y, 0 AS off_mm FROM a JOIN b ON a.id = b.id AND a.k = b.k""",
+SELECT a.id, a.k, a.code AS epsg, round(a.e, 3) AS x, round(a.n, 3) AS y, round(b.e, 3) AS east_x, round(b.n, 3) AS east_y, 0::BIGINT AS off_mm FROM a JOIN b ON a.id = b.id AND a.k = b.k""",
     "arctic_background": _BACKGROUND + " SELECT id, background FROM r",
     "arctic_counts": _BACKGROUND + " SELECT day, count(*) FILTER (background = 'LAND') AS land, count(*) FILTER (background = 'SEA_ICE') AS sea_ice, count(*) FILTER (background IS NULL) AS open_water FROM r GROUP BY day",
     "polar_places": f"""WITH n AS ({_polar_sql(_ARCTIC_CORNERS, 3413)}), s AS ({_polar_sql(_ARCTIC_CORNERS, 3031)})
