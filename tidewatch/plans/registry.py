@@ -1,11 +1,11 @@
 """All queries of the engine's own operators, and the SQL that each is held against."""
 
 from tidewatch.functions import scalars
-from tidewatch.operators import centerline, instances, migration, overlays, polygons, raster, records, reprojection, surface, trajectory, tuning, workflow
+from tidewatch.operators import centerline, instances, migration, overlays, polygons, raster, records, reprojection, statistics, surface, trajectory, tuning, workflow
 from tidewatch.plans import catalogue
 from tidewatch.streaming import notifications
 
-MODULES = (scalars, centerline, instances, migration, overlays, polygons, raster, records, reprojection, surface, trajectory, tuning, workflow)
+MODULES = (scalars, centerline, instances, migration, overlays, polygons, raster, records, reprojection, statistics, surface, trajectory, tuning, workflow)
 
 
 def queries() -> dict:
