@@ -120,10 +120,10 @@ def stream_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"stream_retries": stream_retries}
 ORACLES = {
-    "stream_retries": """WITH RECURSIVE e AS (SELECT user_id::BIGINT AS scene, 1000 * (1704067200 - user_id % 40 * 86400)::BIGINT AS start, epoch_ms(ts) AS t, event_type AS analyser, value > 60 AS ok FROM events),
+    "stream_retries": """WITH RECURSIVE e AS (SELECT user_id::BIGINT AS scene, 1000 * (1704067200 - user_id % 40 * 86400)::BIGINT AS start, epoch_us(ts) // 1000 AS t, event_type AS analyser, value > 60 AS ok FROM events),
 w AS (SELECT max(t) - 2 * 86400000 AS mark FROM e), d AS (SELECT scene, analyser, min(t) AS done FROM e WHERE ok GROUP BY ALL),
 s AS (SELECT scene, start, min(t) AS t FROM e GROUP BY ALL), k AS (SELECT DISTINCT analyser FROM e),
-r(scene, start, t) AS (SELECT * FROM s UNION ALL SELECT scene, start, t + CASE WHEN t - start < 7 * 86400000 THEN 1 ELSE 7 END * 86400000 FROM r WHERE t - start < 32 * 86400000)
+r(scene, start, t) AS (SELECT * FROM s UNION ALL SELECT scene, start, t + CASE WHEN t - start < 7 * 86400000 THEN 1 ELSE 7 END * 86400000 FROM r WHERE t - start < 32::BIGINT * 86400000)
 SELECT r.scene, r.t AS "at", (r.t - r.start) // 86400000 AS age_days, string_agg(k.analyser, ',' ORDER BY k.analyser) AS missing
 FROM r JOIN s ON r.scene = s.scene AND r.t > s.t CROSS JOIN k LEFT JOIN d ON d.scene = r.scene AND d.analyser = k.analyser WHERE r.t <= (SELECT mark FROM w) AND (done IS NULL OR done > r.t) GROUP BY r.scene, r.t, r.start""",
 }
