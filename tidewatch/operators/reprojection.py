@@ -78,13 +78,13 @@ def background_counts(rows: DataFrame, by: list[str]) -> DataFrame:
 
 def zone_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone, area and length of each outline in its metres."""
-    rows = plane_measures(in_zone(tables.outlines(spark, sf_dir)))
+    rows = plane_measures(in_zone(tables.dealt(tables.outlines(spark, sf_dir), "id")))
     return rows.select("id", "epsg", F.round("plane_area", 0).alias("area"), F.round("plane_length", 3).alias("length"))
 
 
 def zone_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10: corners of the outlines in the zone around each corner and the zone's neighbour to the east, and by how many whole millimetres the way back is off."""
-    rows = tables.outlines(spark, sf_dir).select("id", F.posexplode("ring").alias("k", "p")).withColumn("epsg", pj.zone(F.col("p.x"), F.col("p.y")))
+    rows = tables.dealt(tables.outlines(spark, sf_dir), "id").select("id", F.posexplode("ring").alias("k", "p")).withColumn("epsg", pj.zone(F.col("p.x"), F.col("p.y")))
     rows = rows.withColumn("own", pj.to_zone(F.col("p"), F.col("epsg"))).withColumn("east", pj.to_zone(F.col("p"), F.col("epsg") + 1))
     back = pj.from_zone(F.col("own"), F.col("epsg"))
     off = F.floor(111_320_000 * F.hypot(F.col("back.x") - F.col("p.x"), F.col("back.y") - F.col("p.y")))
