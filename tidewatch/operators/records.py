@@ -1,5 +1,7 @@
 """Scenes, triggers and logs: which notified scenes matter, what a batch takes on, logs rolled up by scene, payloads as JSON, pixels as places."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +52,9 @@ def _scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ocean() -> Column:
-    return F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in OCEAN])
+    """The ring in decimals, as in the SQL: differences of its corners are exact, and so is the side on which a place next to the border lies."""
+    at = lambda v: F.lit(Decimal(str(v))).cast("decimal(8, 4)")
+    return F.array(*[F.struct(at(x).alias("x"), at(y).alias("y")) for x, y in OCEAN])
 
 
 def scene_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
