@@ -44,3 +44,35 @@ def test_neighbours_of_other_scenes_count(spark):
     assert pairs.where(F.floor(F.col("a") / 250) != F.floor(F.col("b") / 250)).count() > 0
     met = {r.id: r.overlaps for r in polygons.overlap_counts(spark, DATA).collect()}
     assert sum(met.values()) == 2 * pairs.where("metres = 0").count()
+
+
+def test_many_overlays_at_once_are_those_one_by_one():
+    from tidewatch.functions import overlay as ov
+
+    r = np.random.default_rng(5)
+
+    def star(at):
+        n = r.integers(5, 9)
+        t = np.sort(r.uniform(0, 2 * np.pi, n))
+        return np.stack([np.cos(t), np.sin(t)], 1) * r.uniform(0.4, 1, n)[:, None] + at
+
+    rings = [star(r.uniform(-1, 1, 2)) for _ in range(300)]
+    rings += [np.rint(3 * x) / 3 for x in rings[:60]] + [x[[0, 2, 1, *range(3, len(x))]] for x in rings]
+    one = [ov.repaired([x]) for x in rings]
+    many = ov.repairs([[x] for x in rings])
+    assert [[p.tolist() for q in s for p in q] for s in one] == [[p.tolist() for q in s for p in q] for s in many]
+    other = one[7:] + one[:7]
+    for single, together in ((ov.difference, ov.differences), (ov.intersection, ov.intersections)):
+        assert [ov.area(x) for x in together(one, other)] == pytest.approx([ov.area(single(a, b)) for a, b in zip(one, other)], abs=1e-9)
+    groups = [[*a, *b, *a] for a, b in zip(one, other)] + [[]]
+    assert [ov.area(x) for x in ov.unions(groups)] == pytest.approx([ov.area(ov.union(g)) for g in groups], abs=1e-9)
+
+
+def test_small_groups_are_dissolved_in_one_round(spark, monkeypatch):
+    """Groups of at most FAN_IN shapes need no second round of chunks, whatever cells they lie in: rows are written once."""
+    from tidewatch.operators import overlays
+    from tidewatch.plans import tables
+
+    n, settled = [], tables.settled
+    monkeypatch.setattr(tables, "settled", lambda df: n.append(1) or settled(df))
+    assert overlays.united_merges(spark, DATA).count() > 0 and n == [1]
