@@ -76,3 +76,30 @@ def test_small_groups_are_dissolved_in_one_round(spark, monkeypatch):
     n, settled = [], tables.settled
     monkeypatch.setattr(tables, "settled", lambda df: n.append(1) or settled(df))
     assert overlays.united_merges(spark, DATA).count() > 0 and n == [1]
+
+
+def test_grids_move_candidates_once(spark):
+    """Ranks at all points equal those of windows, with ties, nulls and NaN, and no row is multiplied by the grid."""
+    nan = float("nan")
+    rows = [(k % 7, k * 5 % 11, k % 3 + 1, k % 4 == 0, (None, nan, 1.0, 2.0, 0.5)[k * k % 5], float(k % 3), float(k % 2)) for k in range(200)]
+    c = spark.createDataFrame(rows, "slick int, source int, type int, truth boolean, temporal double, proximity double, parity double").dropDuplicates(["slick", "source", "truth"])
+    weights = [0.0, 0.5, 3.0]
+    found = tuning.weight_measures(c, weights)
+    many = c.withColumn("w", F.explode(F.array(*map(F.lit, weights))))
+    score = (F.col("w") * F.col("temporal") + 2 * F.col("proximity") + F.col("parity")) / (3 + F.col("w"))
+    want = {r.w: (r.mean_rank, r.top3) for r in tuning.rank_measures(tuning.ranked(many, score, ["w", "slick"]), ["w"]).collect()}
+    assert {r.w: (r.mean_rank, r.top3) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan
+
+
+def test_a_cell_within_a_mask_is_met_without_comparing_masks(spark):
+    """A hundred masks over each other are one row of each cell that they fill; outlines at their border are still compared."""
+    from tidewatch.operators import reprojection
+
+    square = lambda x, y, n: [{"x": float(x + i), "y": float(y + j)} for i, j in ((0, 0), (n, 0), (n, n), (0, n))]
+    mask = spark.createDataFrame([([[square(10 - k / 1000, 10 - k / 1000, 3.5)]],) for k in range(100)], "shape array<array<array<struct<x: double, y: double>>>>")
+    at = [(0, 11.5, 11.5), (1, 13.45, 13.45), (2, 13.55, 13.55), (3, 9.85, 9.85), (4, 9.7, 9.7), (5, 13.1, 20.0)]
+    outlines = spark.createDataFrame([(i, square(x, y, 0.1)) for i, x, y in at], "id int, ring array<struct<x: double, y: double>>")
+    got = reprojection.meeting(outlines, mask, 1.0)
+    assert {r.id for r in got.collect()} == {0, 1, 3}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import cells
 from tidewatch.functions import geometry as geo
 from tidewatch.operators.graph import lineage
+from tidewatch.operators.tuning import grid_sums, summed_measures
 from tidewatch.plans.catalogue import FUNCTION_COLUMNS, view
 
 FRAMES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -272,13 +273,9 @@ def slick_history(at: View) -> DataFrame:
 
 @frame
 def collation_grid(at: View) -> DataFrame:
-    """Candidates are moved once, by detection, and multiplied by the grid where they are."""
-    point = F.explode(F.array(*[F.struct(F.lit(m).alias("mu"), F.lit(s).alias("sd")) for m in (0.2, 0.5, 0.8) for s in (0.1, 0.3)]))
-    rows = at("truth").repartition("slick").withColumn("g", point).select("*", "g.*")
-    score = F.when(F.col("type") == 1, (F.col("score") - F.col("mu")) / F.col("sd")).otherwise(F.col("score"))
-    r = F.row_number().over(Window.partitionBy("mu", "sd", "slick").orderBy(score.desc_nulls_last(), "source", "truth"))
-    truths = rows.withColumn("r", r).where("truth")
-    return truths.groupBy("mu", "sd").agg(F.round(F.avg("r"), 8).alias("mean_rank"), F.round(F.avg((F.col("r") <= 3).cast("double")), 8).alias("top3"))
+    """Candidates are moved once, by detection, and ranked at all points of the grid where they are."""
+    sums = grid_sums(at("truth"), [(m, s) for m in (0.2, 0.5, 0.8) for s in (0.1, 0.3)], 1)
+    return summed_measures(sums, ["mu", "sd"]).select("mu", "sd", F.round("mean_rank", 8).alias("mean_rank"), F.round("top3", 8).alias("top3"))
 
 
 @frame
