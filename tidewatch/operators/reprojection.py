@@ -37,24 +37,56 @@ def _cells(box: Column, cell: float) -> Column:
     return F.flatten(F.transform(steps(box["minx"], box["maxx"]), rows))
 
 
+def _cell_ring(cell: Column, size: float) -> Column:
+    at = lambda i, j: F.struct(((cell["x"] + i) * F.lit(size)).alias("x"), ((cell["y"] + j) * F.lit(size)).alias("y"))
+    return F.array(at(0, 0), at(1, 0), at(1, 1), at(0, 1))
+
+
+def _cut(sides: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether a side has a point within a box, its border left out: no line along the box or the side parts them."""
+
+    def within(s: Column) -> Column:
+        turns = F.array(*[(s["bx"] - s["ax"]) * (y - s["ay"]) - (s["by"] - s["ay"]) * (x - s["ax"]) for x in (x0, x1) for y in (y0, y1)])
+        beside = (F.greatest(s["ax"], s["bx"]) <= x0) | (F.least(s["ax"], s["bx"]) >= x1) | (F.greatest(s["ay"], s["by"]) <= y0) | (F.least(s["ay"], s["by"]) >= y1)
+        return ~beside & (F.array_min(turns) < 0) & (F.array_max(turns) > 0)
+
+    return F.exists(sides, within)
+
+
+def _filled(sides: Column, cell: Column, size: float) -> Column:
+    """Whether a cell lies in a polygon: no side goes through it, and its middle is inside."""
+    x0, y0 = cell["x"] * F.lit(size), cell["y"] * F.lit(size)
+    x1, y1 = (cell["x"] + 1) * F.lit(size), (cell["y"] + 1) * F.lit(size)
+    return ~_cut(sides, x0, y0, x1, y1) & geo.contains(sides, (x0 + x1) / 2, (y0 + y1) / 2)
+
+
 def meeting(outlines: DataFrame, mask: DataFrame, cell: float, same: list[str] = (), most: int = 255) -> DataFrame:
     """The distinct ids of outlines (id, ring, the columns `same`) that have a point in common with a shape of mask (shape, the
     columns `same`), borders included; both in one plane. Nulls in `same` meet nothing, nor do null and empty shapes.
 
-    Masks are cut into parts of at most `most` corners first, and parts meet outlines on cells, so that neither a mask with a
-    million corners nor one as large as an ocean is compared whole. A cell with many outlines is split by the join.
+    Equal masks count once. They are cut into parts of at most `most` corners, and parts meet outlines on cells, so that neither a mask with a
+    million corners nor one as large as an ocean is compared whole. A cell that lies in a part is itself all that its outlines have to meet, however
+    many masks lie over each other there; an outline whose first corner is in such a cell meets it without a comparison.
     """
-    parts = overlays.subdivided(mask.where("size(shape) > 0").select(*same, "shape"), most)
-    parts = tables.settled(parts.select(*same, F.col("shape")[0].alias("rings")))
+    whole = tables.dealt(mask.where("size(shape) > 0").select(*same, "shape").distinct(), *same, "shape")
+    parts = overlays.subdivided(whole, most).select(*same, F.col("shape")[0].alias("rings"))
     sided = F.flatten(F.transform("rings", geo.edges))
     right = parts.select(*same, sided.alias("m_sides"), geo.box(F.col("rings")[0]).alias("m_box"))
     right = right.select(*same, "m_sides", "m_box", F.explode(_cells(F.col("m_box"), cell)).alias("cell"))
-    left = outlines.where("size(ring) > 0").select("id", *same, geo.edges(F.col("ring")).alias("sides"), geo.box(F.col("ring")).alias("box"))
-    left = left.select("id", *same, "sides", "box", F.explode(_cells(F.col("box"), cell)).alias("cell"))
-    both = left.join(right, [*same, "cell"])
+    right = tables.settled(right.withColumn("filled", _filled(F.col("m_sides"), F.col("cell"), cell)))
+    full = tables.settled(right.where("filled").select(*same, "cell").distinct())
+    ring = _cell_ring(F.col("cell"), cell)
+    right = right.where("not filled").drop("filled").join(full, [*same, "cell"], "left_anti").unionByName(full.select(*same, geo.edges(ring).alias("m_sides"), geo.box(ring).alias("m_box"), "cell"))
+    first = F.struct(*[F.floor(F.col("ring")[0][c] / cell).alias(c) for c in "xy"])
+    left = outlines.where("size(ring) > 0").select("id", *same, "ring", first.alias("cell"))
+    left = left.join(full.withColumn("sure", F.lit(True)), [*same, "cell"], "left")
+    rest = left.where("sure is null").select("id", *same, geo.edges(F.col("ring")).alias("sides"), geo.box(F.col("ring")).alias("box"))
+    rest = rest.select("id", *same, "sides", "box", F.explode(_cells(F.col("box"), cell)).alias("cell"))
+    both = rest.join(right, [*same, "cell"])
     a, b = F.col("box"), F.col("m_box")
     near = (a["minx"] <= b["maxx"]) & (b["minx"] <= a["maxx"]) & (a["miny"] <= b["maxy"]) & (b["miny"] <= a["maxy"])
-    return both.where(near).where(geo.distance(F.col("sides"), F.col("m_sides")) == 0).select("id").distinct()
+    found = both.where(near).where(geo.distance(F.col("sides"), F.col("m_sides")) == 0).select("id").distinct()
+    return left.where("sure").select("id").union(found).distinct()
 
 
 def background(outlines: DataFrame, land: DataFrame, ice: DataFrame, to_ice: Callable[[Column], Column] | None, same: list[str] = ()) -> DataFrame:
@@ -62,12 +94,14 @@ def background(outlines: DataFrame, land: DataFrame, ice: DataFrame, to_ice: Cal
     SEA_ICE where it touches one of ice (shape, the columns `same`, a day say), else null.
 
     `to_ice` takes a place in degrees to the plane of the ice masks; None: they are in degrees. Outlines are taken to the plane of the masks
-    and not the other way round, as a mask around a pole has no ring in degrees.
+    and not the other way round, as a mask around a pole has no ring in degrees. Only outlines that aren't on land are held against the ice.
     """
     on_land = meeting(outlines, land, CELL_DEGREES).withColumn("on_land", F.lit(True))
-    plane = outlines.withColumn("ring", pj.projected(F.col("ring"), to_ice)) if to_ice else outlines
+    rows = tables.settled(outlines.join(on_land, "id", "left"))
+    plane = rows.where("on_land is null").drop("on_land")
+    plane = plane.withColumn("ring", pj.projected(F.col("ring"), to_ice)) if to_ice else plane
     on_ice = meeting(plane, ice, CELL_METRES if to_ice else CELL_DEGREES, same).withColumn("on_ice", F.lit(True))
-    rows = outlines.join(on_land, "id", "left").join(on_ice, "id", "left")
+    rows = rows.join(on_ice, "id", "left")
     return rows.withColumn("background", F.when(F.col("on_land"), "LAND").when(F.col("on_ice"), "SEA_ICE")).drop("on_land", "on_ice")
 
 
