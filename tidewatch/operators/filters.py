@@ -87,10 +87,15 @@ class Filter:
             return geo.point_distance(sides, x, y) == 0
         own = geo.edges(F.col(self.ring))
         if op == "s_within":
-            return F.forall(F.col(self.ring), lambda p: geo.contains(sides, p["x"], p["y"])) & ~_cross(own, sides)
-        if len(corners) == 1:
-            return geo.point_distance(own, *map(F.lit, corners[0])) == 0
-        return geo.distance(own, sides) == 0
+            exact = F.forall(F.col(self.ring), lambda p: geo.contains(sides, p["x"], p["y"])) & ~_cross(own, sides)
+        elif len(corners) == 1:
+            exact = geo.point_distance(own, *map(F.lit, corners[0])) == 0
+        else:
+            exact = geo.distance(own, sides) == 0
+        # a ring all on one side of the shape's box needs no comparison of sides
+        beside = lambda c, v: F.forall(F.col(self.ring), lambda p: p[c] < min(v)) | F.forall(F.col(self.ring), lambda p: p[c] > max(v))
+        xs, ys = zip(*corners, strict=True)
+        return F.when((F.size(self.ring) > 0) & (beside("x", xs) | beside("y", ys)), F.lit(False)).otherwise(exact)
 
     def _when(self, op: str, args: list, depth: int) -> Column:
         at = self._column(args[0], depth + 1)
