@@ -72,11 +72,14 @@ def dark_detections(detections: DataFrame, sites: DataFrame) -> DataFrame:
     (structure, lon, lat, confidence) near any unmatched detection the most confident one counts."""
     size = 0.001
     unmatched = detections.where("match_score < 0.01").withColumn("cell", cells.cell(F.col("lon"), F.col("lat"), size))
-    wide = sites.withColumn("cell", F.explode(_cells(F.col("lon"), F.col("lat"), size, 1)))
-    seen = unmatched.select("cell", F.col("lon").alias("dx"), F.col("lat").alias("dy"))
-    near = wide.join(seen, "cell").where((F.abs(F.col("lon") - F.col("dx")) < size) & (F.abs(F.col("lat") - F.col("dy")) < size))
+    # a place counts once however many structures have been there, and is met by any detection near it
+    spots = sites.select("lon", "lat").distinct()
+    wide = spots.withColumn("cell", F.explode(_cells(F.col("lon"), F.col("lat"), size, 1)))
+    seen = unmatched.select(F.col("cell").alias("d_cell"), F.col("lon").alias("dx"), F.col("lat").alias("dy"))
+    met = (F.col("cell") == F.col("d_cell")) & (F.abs(F.col("lon") - F.col("dx")) < size) & (F.abs(F.col("lat") - F.col("dy")) < size)
+    near = sites.join(wide.join(seen, met, "left_semi").select("lon", "lat").distinct(), ["lon", "lat"], "left_semi")
     one = near.groupBy("structure").agg(F.min_by(F.struct("lon", "lat"), F.struct(-F.col("confidence"), "lon", "lat")).alias("p")).select("structure", F.col("p.lon").alias("sx"), F.col("p.lat").alias("sy"))
-    one = one.withColumn("cell", F.explode(cells.surroundings(F.col("sx"), F.col("sy"), 100.0, size)))
+    one = one.select("sx", "sy").distinct().withColumn("cell", F.explode(cells.surroundings(F.col("sx"), F.col("sy"), 100.0, size)))
     wanted = unmatched.where("length_m > 30 and presence > 0.99")
     close = (wanted["cell"] == one["cell"]) & (geo.haversine(wanted["lon"], wanted["lat"], one["sx"], one["sy"]) < 100)
     return wanted.join(one, close, "left_anti").drop("cell")
