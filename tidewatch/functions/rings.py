@@ -3,7 +3,7 @@
 Corners of all rows are one array of numbers, so that no ring is looked at by itself.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,16 +72,26 @@ def geodesic(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray, rou
     return np.where(np.abs(lam - was) < 1e-9, out, np.nan)
 
 
-def ring_measures(off: np.ndarray, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-    """Area and perimeter on the ellipsoid in metres, and the centre of the area on the plane of degrees; of a ring without area the mean of its corners."""
+MEASURES = ("area", "perimeter", "cx", "cy")
+
+
+def ring_measures(off: np.ndarray, x: np.ndarray, y: np.ndarray, wanted: Iterable[str] = MEASURES) -> dict[str, np.ndarray]:
+    """Area and perimeter on the ellipsoid in metres, and the centre of the area on the plane of degrees; of a ring without area the mean of its corners. Only
+    those that are wanted are worked out."""
     nxt = following(off)
+    out = {}
+    if "area" in wanted:
+        out["area"] = np.abs(summed(np.radians(x[nxt] - x) * (zone(y) + zone(y[nxt])) / 2, off))
+    if "perimeter" in wanted:
+        out["perimeter"] = summed(geodesic(x, y, x[nxt], y[nxt]), off)
+    if not {"cx", "cy"} & set(wanted):
+        return out
     n = np.diff(off)
     first = np.repeat(off[:-1], n)
     dx, dy = x - x[first], y - y[first]
     ex, ey = dx[nxt], dy[nxt]
     cross = dx * ey - ex * dy
     twice = summed(cross, off)
-    out = {"area": np.abs(summed(np.radians(x[nxt] - x) * (zone(y) + zone(y[nxt])) / 2, off)), "perimeter": summed(geodesic(x, y, x[nxt], y[nxt]), off)}
     with np.errstate(divide="ignore", invalid="ignore"):
         for name, v, d, e in (("cx", x, dx, ex), ("cy", y, dy, ey)):
             start = np.full(len(n), np.nan)
@@ -90,16 +100,13 @@ def ring_measures(off: np.ndarray, x: np.ndarray, y: np.ndarray) -> dict[str, np
     return out
 
 
-MEASURES = ("area", "perimeter", "cx", "cy")
-
-
 def with_measures(rows: DataFrame, ring: str = "ring", wanted: dict[str, str] | None = None) -> DataFrame:
     """rows with measures of a column of rings: those that are wanted, under the given names, or all of MEASURES."""
     wanted = wanted or {c: c for c in MEASURES}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = ring_measures(*corners(b.column(ring)))
+            found = ring_measures(*corners(b.column(ring)), wanted)
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(found[c], from_pandas=True) for c in wanted)], names=[*b.schema.names, *wanted.values()])
 
     return rows.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes), *(f"`{c}` double" for c in wanted.values())]))
@@ -112,7 +119,7 @@ def with_areas(rows: DataFrame, parts: str, name: str) -> DataFrame:
         for b in batches:
             column = b.column(parts)
             sizes = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
-            found = pa.array(ring_measures(*corners(column.flatten()))["area"])
+            found = pa.array(ring_measures(*corners(column.flatten()), ["area"])["area"])
             areas = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), found)
             yield pa.RecordBatch.from_arrays([*b.columns, areas], names=[*b.schema.names, name])
 
