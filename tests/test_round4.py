@@ -86,3 +86,16 @@ def test_few_neighbours_are_taken_off_at_once(spark, monkeypatch):
     monkeypatch.undo()
     monkeypatch.setattr(overlays, "FEW_CORNERS", 0)
     assert once == pytest.approx({r.id: r.area for r in overlays.unmasked_outlines(spark, DATA).collect()}, abs=0.002)
+
+
+def test_window_starts_are_those_of_a_search():
+    from tidewatch.llm import repeats
+
+    r = np.random.default_rng(1)
+    for _ in range(50):
+        off = np.concatenate([[0], np.cumsum(r.choice([0, 1, 199, 200, 201, 400], 9))])
+        s = np.arange(max(0, off[-1] - 199))
+        row = np.searchsorted(off, s, "right") - 1
+        ok = s + 200 <= off[row + 1]
+        got = repeats._window_starts(off, 200)
+        assert got[0].tolist() == s[ok].tolist() and got[1].tolist() == row[ok].tolist()

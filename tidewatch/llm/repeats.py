@@ -47,6 +47,13 @@ def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return tuple(np.frombuffer(both, np.int64).reshape(-1, 2).T)
 
 
+def _window_starts(off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all windows that lie in one text, in order, and the text of each: counted up from the texts, so that no place is looked for."""
+    n = np.maximum(np.diff(off) - length + 1, 0)
+    row = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(row)) + np.repeat(off[:-1] - np.concatenate([[0], np.cumsum(n)[:-1]]), n), row
+
+
 def _runs_of(data: np.ndarray, off: np.ndarray, length: int, whole: bool):
     """Runs of windows with one anchor in the texts of a piece: the anchor's hash, and if whole the digest, row, start in the row, and offsets of the anchor."""
     w = length - GRAM + 1
@@ -55,10 +62,8 @@ def _runs_of(data: np.ndarray, off: np.ndarray, length: int, whole: bool):
     gram = bh.mix(bh.span(p, at, at + GRAM))
     # the upper bits of the hash order the grams, the place parts equal ones: the first one counts
     anchor = (_running_min((gram & ~U(0xFFFFFF)) | at.astype(U), w) & U(0xFFFFFF)).astype(np.int64)
-    s = np.arange(len(anchor))
-    row = np.searchsorted(off, s, "right") - 1
-    ok = s + length <= off[row + 1]
-    s, anchor, row = s[ok], anchor[ok], row[ok]
+    s, row = _window_starts(off, length)
+    anchor = anchor[s]
     if not len(s):
         return None
     first = np.flatnonzero(np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(row) != 0)]))
