@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions import cells
-from tidewatch.operators import filters, overlays, polygons
+from tidewatch.operators import filters, graph, overlays, polygons
 from tidewatch.plans import tables, views
 
 DATA = "/root/testdata/sf0.001"
@@ -110,3 +110,20 @@ def test_outlines_are_worked_out_once_and_lone_ones_take_no_part(spark, monkeypa
     monkeypatch.setattr(polygons, "dissolved", lambda rows, by: seen.append(rows.groupBy("component").count().where("count = 1").count()) or once(rows, by))
     rows = polygons.stitched_groups(spark, DATA)
     assert seen == [0] and rows.where("parts = 1").count() > 0 and rows.where("parts > 1").count() > 0
+
+
+def test_lineage_takes_few_rounds_and_no_task_gets_a_crowd(spark, monkeypatch):
+    """A chain of 40 steps is doubled six times; rows of the ids that most starts reach go to all tasks."""
+    rounds = []
+    once = graph.met
+    monkeypatch.setattr(graph, "met", lambda *a: rounds.append(1) or once(*a))
+    chain = spark.range(1, 41).select("id", (F.col("id") - 1).alias("pre"))
+    got = graph.lineage(spark.range(41), chain)
+    assert {(r.start, r.id): r.paths for r in got.collect()} == {(i, j): 1 for i in range(41) for j in range(i + 1)}
+    assert len(rounds) == 12
+    monkeypatch.undo()
+    monkeypatch.setattr(graph, "CROWDED", 5)
+    rows = spark.createDataFrame([(k, 0 if k % 2 else k) for k in range(2, 60)], "k long, id long")
+    both = graph.met(rows, spark.createDataFrame([(k, f"r{k}") for k in range(50)], "id long, text string"), "id")
+    assert sorted((r.k, r.id, r.text) for r in both.collect()) == [(k, i, f"r{i}") for k in range(2, 60) for i in [0 if k % 2 else k] if i < 50]
+    assert "Broadcast" in both._jdf.queryExecution().executedPlan().toString()
