@@ -1,5 +1,7 @@
 """Retries on streams: against SQL, in several orders of arrival, over a restart, and against a plain loop."""
 
+import json
+import pandas as pd
 import os
 from datetime import datetime, timedelta
 
@@ -97,3 +99,40 @@ def test_schedule():
     day = retries.DAY
     assert [retries.next_retry(0, a * day) for a in (0, 6, 7, 31, 32)] == [day, 7 * day, 14 * day, 38 * day, None]
     assert retries.next_retry(0, 7 * day - 1) == 8 * day - 1 and retries.next_retry(0, 32 * day - 1) == 39 * day - 1
+
+
+def test_a_scene_is_one_value_read_and_written_once():
+    """Each read or write of state is a message to the JVM: one of each for a call, however many analysers succeed."""
+    calls = []
+
+    class Value:
+        kept = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.kept is not None
+
+        def get(self):
+            calls.append("get")
+            return self.kept
+
+        def update(self, value):
+            calls.append("update")
+            self.kept = value
+
+    class Handle:
+        def getValueState(self, *_):
+            return Value()
+
+        def getMapState(self, *_):
+            pytest.fail("a map of states is a message for each of its keys")
+
+        def registerTimer(self, at):
+            calls.append(at)
+
+    r = retries.Retries(["b", "a", "c"])
+    r.init(Handle())
+    part = pd.DataFrame({"start": [0, 0, 5], "at": [10, 7, 9], "analyser": ["a", "b", None], "ok": [True, True, True]})
+    assert list(r.handleInputRows((1,), iter([part, part[part["analyser"] == "a"].assign(at=3)]), None)) == []
+    assert calls == ["get", retries.DAY + 3, "update"] and r.scene.kept[:4] == (0, 3, None, retries.DAY + 3)
+    assert json.loads(r.scene.kept[4]) == {"a": 3, "b": 7}

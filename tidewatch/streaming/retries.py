@@ -7,6 +7,7 @@ neither the order in which outcomes arrive, as far as the watermark waits for it
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -30,28 +31,26 @@ def next_retry(start: int, at: int) -> int | None:
 
 
 class Retries(StatefulProcessor):
-    """For a scene its start, its first attempt, the time up to which retries are decided, and when each analyser first succeeded."""
+    """For a scene its start, its first attempt, the time up to which retries are decided, and when each analyser first succeeded: one value, that is
+    read once and written once for each call, as each of these is a message."""
 
     def __init__(self, analysers: list[str]):
         self.analysers = sorted(analysers)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.scene = handle.getValueState("scene", "start long, first long, decided long, timer long")
-        self.done = handle.getMapState("done", "analyser string", "at long")
+        self.scene = handle.getValueState("scene", "start long, first long, decided long, timer long, done string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        start, first, decided, timer = self.scene.get() if self.scene.exists() else (None, None, None, None)
-        done: dict[str, int] = {}
+        start, first, decided, timer, done = self.scene.get() or (None, None, None, None, "{}")
+        done: dict[str, int] = json.loads(done)
         for part in rows:
-            low = part["at"].min()
-            start = int(part["start"].min()) if start is None else min(start, int(part["start"].min()))
-            first = int(low) if first is None else min(first, int(low))
-            for a, at in part[part["ok"]].groupby("analyser")["at"].min().items():
-                done[a] = min(int(at), done.get(a, int(at)))
-        for a, at in done.items():
-            if not self.done.containsKey((a,)) or at < self.done.getValue((a,))[0]:
-                self.done.updateValue((a,), (at,))
+            at, ok, low = part["at"].to_numpy(), part["ok"].to_numpy(bool), int(part["start"].to_numpy().min())
+            start = low if start is None else min(start, low)
+            first = int(at.min()) if first is None else min(first, int(at.min()))
+            for a, t in zip(part["analyser"].to_numpy()[ok].tolist(), at[ok].tolist(), strict=True):
+                if isinstance(a, str):
+                    done[a] = min(t, done.get(a, t))
         if decided is None or decided < first:
             # nothing is decided yet, so that an earlier attempt moves the first retry
             at = next_retry(start, first)
@@ -60,13 +59,13 @@ class Retries(StatefulProcessor):
             if at is not None and timer != at:
                 self.handle.registerTimer(at)
             timer = at
-        self.scene.update((start, first, decided, timer))
+        self.scene.update((start, first, decided, timer, json.dumps(done)))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at, now = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
-        start, first, decided, _ = self.scene.get()
-        done = {k[0]: v[0] for k, v in self.done.iterator()}
+        start, first, decided, _, known = self.scene.get()
+        done = json.loads(known)
         found, last = [], at
         while at is not None and at <= now:
             missing = [a for a in self.analysers if done.get(a, at + 1) > at]
@@ -76,7 +75,7 @@ class Retries(StatefulProcessor):
             found.append((key[0], at, (at - start) // DAY, ",".join(missing)))
             last, at = at, next_retry(start, at)
         # what is known of the scene stays, so that outcomes that come later don't start it anew
-        self.scene.update((start, first, last, at))
+        self.scene.update((start, first, last, at, known))
         if at is not None:
             self.handle.registerTimer(at)
         if found:
