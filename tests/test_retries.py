@@ -1,11 +1,11 @@
 """Retries on streams: against SQL, in several orders of arrival, over a restart, and against a plain loop."""
 
 import json
-import pandas as pd
 import os
 from datetime import datetime, timedelta
 
 import duckdb
+import pandas as pd
 import pytest
 
 from tidewatch.streaming import notifications, retries

@@ -101,15 +101,15 @@ def test_window_starts_are_those_of_a_search():
         assert got[0].tolist() == s[ok].tolist() and got[1].tolist() == row[ok].tolist()
 
 
-def test_outlines_are_worked_out_once_and_lone_ones_take_no_part(spark, monkeypatch):
-    """Both sides of a join of outlines, and the levels of their boxes, read what was written; what has no neighbour isn't dissolved."""
-    plan = polygons.outline_distances(tables.outlines(spark, DATA), 2000.0, ["cls"])._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("MapInArrow") == 1
-    seen = []
-    once = polygons.dissolved
+def test_lone_outlines_take_no_part_in_rounds(spark, monkeypatch):
+    """What has no neighbour is neither a vertex of the graph nor dissolved."""
+    seen, ends = [], []
+    once, linked = polygons.dissolved, polygons.components
     monkeypatch.setattr(polygons, "dissolved", lambda rows, by: seen.append(rows.groupBy("component").count().where("count = 1").count()) or once(rows, by))
+    monkeypatch.setattr(polygons, "components", lambda v, e: ends.append(v.count()) or linked(v, e))
     rows = polygons.stitched_groups(spark, DATA)
-    assert seen == [0] and rows.where("parts = 1").count() > 0 and rows.where("parts > 1").count() > 0
+    several = rows.where("parts > 1").agg(F.sum("parts")).first()[0]
+    assert seen == [0] and ends == [several] and rows.where("parts = 1").count() > 0
 
 
 def test_lineage_takes_few_rounds_and_no_task_gets_a_crowd(spark, monkeypatch):
