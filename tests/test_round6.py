@@ -1,10 +1,12 @@
-"""Scenes of several blocks of tiles against brute force, and how much is run for them."""
+"""Scenes of several blocks of tiles against brute force, and how much is run for them; places in zones by batches; migrations by bounded partitions."""
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.functions import overlay as ov
-from tidewatch.operators import instances
+from tidewatch.functions import projections as pj
+from tidewatch.operators import instances, reprojection
 
 TILE = "scene long, row long, col long, tile long, values array<double>"
 
@@ -124,3 +126,27 @@ def test_scenes_are_no_globes(spark):
     tiles = tiles_of(spark, {1: v})
     got, jobs = jobs_of(spark, "no globes", lambda: instances.away_from_gaps(instances.scene_instances(tiles, 0.5, 0.5, 0.5), tiles, 1.5).collect())
     assert [r.n for r in got] == [9] and jobs <= 30
+
+
+def test_places_in_zones_by_batches_are_the_columns(spark):
+    """Corners all over the earth, over the 180th meridian and beyond the zones, by batches and by column expressions; whole rings at a time."""
+    rng = np.random.default_rng(5)
+    rings = [(i, [(float(x), float(y)) for x, y in zip(rng.uniform(-180, 180, n), rng.uniform(-82, 86, n), strict=True)]) for i, n in enumerate((7, 0, 40, 1, 500))]
+    rings += [(9, None), (10, [(0.0, 0.0), (3.0, 0.0), (179.999, 60.0), (-180.0, -80.0), (6.0, 84.0), (6.0, 84.001)])]
+    rows = spark.createDataFrame(rings, "id long, ring array<struct<x: double, y: double>>").coalesce(1)
+    place = F.col("p")
+    want = rows.select("id", F.posexplode("ring").alias("k", "p")).withColumn("epsg", pj.zone(F.col("p.x"), F.col("p.y")))
+    want = want.withColumn("own", pj.to_zone(place, F.col("epsg"))).withColumn("east", pj.to_zone(place, F.col("epsg") + 1)).select("id", "k", "epsg", "own.x", "own.y", F.col("east.x").alias("east_x"), F.col("east.y").alias("east_y")).collect()
+    got = {(r.id, r.k): r for r in reprojection.corners_in_zones(rows).collect()}
+    assert len(got) == len(want) == 554 and {r.epsg for r in want} == {r.epsg for r in got.values()}
+    for r in want:
+        other = got[r.id, r.k]
+        assert (other.epsg, other.off_mm) == (r.epsg, None if r.epsg is None else 0)
+        for c in ("x", "y", "east_x", "east_y"):
+            assert other[c] == (None if r.epsg is None else pytest.approx(r[c], abs=1e-7))
+
+
+def test_zone_places_is_made_by_batches(spark):
+    """No corner is projected as a row of its own in the plan."""
+    plan = reprojection.zone_places(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "atanh" not in plan.lower() and "generate" not in plan.lower()

@@ -1,12 +1,13 @@
 """Map projections of places on the WGS84 ellipsoid as column expressions: transverse Mercator in its zones, polar stereographic, and back.
 
-A place is a struct (x, y): degrees of longitude and latitude, or metres. Everything runs inside the JVM; the series are cut
-after the fourth or fifth power of the third flattening, which leaves less than a micrometre within a zone.
+A place is a struct (x, y): degrees of longitude and latitude, or metres. Column expressions run inside the JVM; zones have the same for arrays of places,
+a batch at a time. The series are cut after the fourth or fifth power of the third flattening, which leaves less than a micrometre within a zone.
 """
 
 import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -109,6 +110,49 @@ def from_zone(p: Column, code: Column) -> Column:
     return let(let(start, lambda q: _series(q, FROM_PLANE, -1)), degrees)
 
 
+def zones(lon: np.ndarray, lat: np.ndarray) -> np.ndarray:
+    """zone() of many places; 0 where there is none."""
+    number = (np.floor((lon - 360 * np.floor((lon + 180) / 360) + 180) / 6) + 1).astype(np.int64)
+    return np.where((lat >= ZONES_SOUTH) & (lat <= ZONES_NORTH), np.where(lat >= 0, 32600, 32700) + number, 0)
+
+
+def _waves(x: np.ndarray, y: np.ndarray, coefficients: tuple[float, ...], sign: int) -> tuple[np.ndarray, np.ndarray]:
+    """_series() of many: sines of multiples of twice x by powers of one complex number, as exp(2iz) has them."""
+    s, c, up = np.sin(2 * x), np.cos(2 * x), np.exp(2 * y)
+    sh, ch = (up - 1 / up) / 2, (up + 1 / up) / 2
+    sh = np.where(np.abs(y) < 0.05, np.sinh(2 * y), sh)
+    outx, outy, p, q, a, b = x, y, s, c, sh, ch
+    for c_ in coefficients:
+        outx, outy = outx + sign * c_ * p * b, outy + sign * c_ * q * a
+        p, q, a, b = p * c + q * s, q * c - p * s, a * ch + b * sh, b * ch + a * sh
+    return outx, outy
+
+
+def _from_meridian(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return codes % 100 * 6 - 183.0, np.where(codes > 32700, FALSE_NORTHING, 0.0)
+
+
+def to_zones(lon: np.ndarray, lat: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """to_zone() of many places."""
+    meridian, north = _from_meridian(codes)
+    away = lon - meridian
+    lam, s = np.radians(away - 360 * np.floor((away + 180) / 360)), np.sin(np.radians(lat))
+    tangent = np.sinh(np.arctanh(s) - E * np.arctanh(E * s))
+    c = np.cos(lam)
+    x, y = _waves(np.arctan2(tangent, c), np.arcsinh(np.sin(lam) / np.hypot(tangent, c)), TO_PLANE, 1)
+    return FALSE_EASTING + SCALE * RECTIFYING * y, north + SCALE * RECTIFYING * x
+
+
+def from_zones(east: np.ndarray, north: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """from_zone() of many places."""
+    meridian, false = _from_meridian(codes)
+    x, y = _waves((north - false) / (SCALE * RECTIFYING), (east - FALSE_EASTING) / (SCALE * RECTIFYING), FROM_PLANE, -1)
+    conformal = np.arcsin(np.sin(x) / np.cosh(y))
+    lat = conformal + sum(c * np.sin(2 * j * conformal) for j, c in enumerate(TO_GEODETIC, 1))
+    lon = meridian + np.degrees(np.arctan2(np.sinh(y), np.cos(x)))
+    return lon - 360 * np.floor((lon + 180) / 360), np.degrees(lat)
+
+
 def _polar(code: int) -> tuple[int, float, float]:
     """Side (1 north, -1 south), meridian, and metres for each unit of exp(-isometric latitude)."""
     parallel, meridian = POLAR[code]

@@ -1,7 +1,9 @@
 """Shapes in the planes of map projections: measures in the zone around a shape, and background classes by masks on grids of their own."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,14 +118,32 @@ def zone_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "epsg", F.round("plane_area", 0).alias("area"), F.round("plane_length", 3).alias("length"))
 
 
+def corners_in_zones(outlines: DataFrame) -> DataFrame:
+    """(id, k, epsg, x, y, east_x, east_y, off_mm) of the corners of outlines (id long, ring): place in the zone around each, in that zone's neighbour to the east, and by how many
+    whole millimetres the way back is off. All but id and k are null where there is no zone. A batch of rings is projected at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rings = b.column("ring")
+            sizes = np.nan_to_num(rings.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
+            p = rings.flatten()
+            lon, lat = (p.field(c).to_numpy(zero_copy_only=False).astype(float) for c in "xy")
+            codes = pj.zones(lon, lat)
+            no = codes == 0
+            own, east = pj.to_zones(lon, lat, codes), pj.to_zones(lon, lat, codes + 1)
+            back = pj.from_zones(*own, codes)
+            off = np.floor(111_320_000 * np.hypot(back[0] - lon, back[1] - lat))
+            k = np.arange(len(lon)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            columns = [b.column("id").take(pa.array(np.repeat(np.arange(len(b)), sizes))), pa.array(k), pa.array(codes.astype(np.int32), mask=no), *(pa.array(m, mask=no) for m in (*own, *east)), pa.array(np.where(no, 0, off).astype(np.int64), mask=no)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "k", "epsg", "x", "y", "east_x", "east_y", "off_mm"])
+
+    return outlines.select("id", "ring").mapInArrow(run, "id long, k long, epsg int, x double, y double, east_x double, east_y double, off_mm long")
+
+
 def zone_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10: corners of the outlines in the zone around each corner and the zone's neighbour to the east, and by how many whole millimetres the way back is off."""
-    rows = tables.outlines(spark, sf_dir).select("id", F.posexplode("ring").alias("k", "p")).withColumn("epsg", pj.zone(F.col("p.x"), F.col("p.y")))
-    rows = rows.withColumn("own", pj.to_zone(F.col("p"), F.col("epsg"))).withColumn("east", pj.to_zone(F.col("p"), F.col("epsg") + 1))
-    back = pj.from_zone(F.col("own"), F.col("epsg"))
-    off = F.floor(111_320_000 * F.hypot(F.col("back.x") - F.col("p.x"), F.col("back.y") - F.col("p.y")))
-    metre = lambda c: F.round(c, 3)
-    return rows.withColumn("back", back).select("id", F.col("k").cast("long").alias("k"), "epsg", metre("own.x").alias("x"), metre("own.y").alias("y"), metre("east.x").alias("east_x"), metre("east.y").alias("east_y"), off.alias("off_mm"))
+    rows = corners_in_zones(tables.outlines(spark, sf_dir))
+    return rows.select("id", "k", "epsg", *[F.round(c, 3).alias(c) for c in ("x", "y", "east_x", "east_y")], "off_mm")
 
 
 def _arctic(spark: SparkSession, sf_dir: str) -> DataFrame:
