@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import overlay as ov
 from tidewatch.functions import projections as pj
-from tidewatch.operators import instances, reprojection
+from tidewatch.operators import instances, migration, reprojection
+from tidewatch.plans import tables
 
 TILE = "scene long, row long, col long, tile long, values array<double>"
 
@@ -150,3 +151,31 @@ def test_zone_places_is_made_by_batches(spark):
     """No corner is projected as a row of its own in the plan."""
     plan = reprojection.zone_places(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "atanh" not in plan.lower() and "generate" not in plan.lower()
+
+
+def test_shuffles_grow_with_rows(spark, monkeypatch):
+    """Partitions for a table's rows, and the session's own number afterwards, also after an error."""
+    monkeypatch.setattr(tables, "ROWS", 100)
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(ZeroDivisionError), tables.shuffled_for(spark, 1001):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "11" == str(tables.parts_for(spark, 1))
+        raise ZeroDivisionError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == own and tables.parts_for(spark, 5) == int(own)
+
+
+def test_migrations_shuffle_to_partitions_for_their_links(spark, monkeypatch):
+    """No task gets more of the links the more there are: the largest shuffle has a partition for each ROWS of them, and results are the same."""
+    sf = "/root/testdata/sf0.001"
+    rows = lambda: sorted(map(tuple, migration.migration_links(spark, sf).collect()), key=str)
+    want = rows()
+    monkeypatch.setattr(tables, "ROWS", 500)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("migration", "migration")
+    try:
+        assert rows() == want
+        status = spark.sparkContext.statusTracker()
+        stages = {k for j in status.getJobIdsForGroup("migration") for k in status.getJobInfo(j).stageIds}
+        assert max(i.numTasks for i in map(status.getStageInfo, stages) if i) >= len(want) // 500
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -88,7 +88,8 @@ def retargeted(links: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links of sources that are merged away, at their targets, one for each (slick, source): the active one first, then the confirmed
     one, the best score, the latest, the first by rank and id. It is active or confirmed if any of them is."""
     moved = links.join(pairs.where("large_id is not null and small_id is not null").select(F.col("large_id").alias("source"), "small_id"), "source")
-    moved = moved.withColumn("source", F.col("small_id")).drop("small_id")
+    # dealt before they are sorted by key, as a task that reads has as many rows as its file
+    moved = moved.withColumn("source", F.col("small_id")).drop("small_id").repartition("slick")
     # min_by over a struct: nulls come first there, so each key that may be null has a flag before it
     last = lambda c, down: [F.col(c).isNull(), -F.col(c) if down else F.col(c)]
     order = F.struct(~_yes("active"), ~_yes("hitl_verification"), *last("score", True), F.col("create_time").isNull(), -F.unix_micros(F.col("create_time").cast("timestamp")), *last("link_rank", False), F.col("id"))
@@ -168,12 +169,15 @@ def staged(mapping: DataFrame, sources: DataFrame, details: DataFrame, links: Da
 
     Pairs whose large name is no source are left out, and stay in `resolved` without large_id. An empty map, one that has faults, one without
     any source to merge, and a missing target whose donor has no details stop it. Nulls in active and in verdicts count as not active and no verdict.
+    Links are worked out once, and are shuffled to partitions for their number.
     """
     pairs, grown, more = prepared(mapping, sources, details)
-    moved = tables.settled(retargeted(links, pairs))
-    one = tables.settled(merged(links, moved, pairs))
-    out = Staged(grown, more, tables.settled(reranked(one, moved.select("slick"))), pairs)
-    _stop(audits(out, moved.select("slick")))
+    links = tables.settled(links)
+    with tables.shuffled_for(links.sparkSession, links.count()):
+        moved = tables.settled(retargeted(links, pairs))
+        one = tables.settled(merged(links, moved, pairs))
+        out = Staged(grown, more, tables.settled(reranked(one, moved.select("slick"))), pairs)
+        _stop(audits(out, moved.select("slick")))
     return out
 
 
@@ -216,7 +220,9 @@ def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
     details = s.where("k % 5 <> 0").select(k.alias("source_id"), F.col("s_name").alias("ext_name"), F.col("s_nationkey").cast("long").alias("operator"))
     small = F.when(k % 4 == 0, F.concat(F.lit("n"), F.floor(k / 24).cast("string"))).otherwise((k - 1).cast("string"))
     mapping = s.where("k % 3 = 0").select(k.cast("string").alias("large_ext_id"), small.alias("small_ext_id"))
-    l = tables.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("long").alias("slick"), F.col("l_suppkey").cast("long").alias("source"))
+    l = tables.table(spark, sf_dir, "lineitem")
+    own = l.select(F.col("l_orderkey").cast("long").alias("slick"), F.col("l_suppkey").cast("long").alias("source"), "l_extendedprice", "l_linenumber", "l_linestatus", "l_shipdate")
+    l = own.repartition(tables.parts_for(spark, l.count()), "slick").groupBy("slick", "source")
     l = l.agg(F.max("l_extendedprice").alias("price"), F.max("l_linenumber").cast("int").alias("link_rank"), F.bool_or(F.col("l_linestatus") == "O").alias("active"), F.max("l_shipdate").cast("timestamp").alias("create_time"))
     n = F.col("slick") + F.col("source")
     verdict = F.when(n % 3 == 0, True).when(n % 3 == 1, False)

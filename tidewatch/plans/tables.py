@@ -5,6 +5,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a large table that a task sorts or groups, about.
+ROWS = 250_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,6 +44,23 @@ def dealt(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def parts_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for a shuffle of so many rows: those of the session, more where a task would get over ROWS."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS))
+
+
+@contextmanager
+def shuffled_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs within it shuffles to partitions for so many rows, so that what a task holds doesn't grow with the table. Small ones are put together as
+    the session has it; the session's number comes back at the end."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts_for(spark, rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def micros(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
