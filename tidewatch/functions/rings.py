@@ -25,6 +25,13 @@ def corners(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate([[0], np.cumsum(sizes)]), flat.field("x").to_numpy(zero_copy_only=False), flat.field("y").to_numpy(zero_copy_only=False)
 
 
+def picked(off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of some rows one after the other, and where their corners stand."""
+    n = off[rows + 1] - off[rows]
+    new = np.concatenate([[0], np.cumsum(n)])
+    return new, np.arange(new[-1]) - np.repeat(new[:-1], n) + np.repeat(off[rows], n)
+
+
 def following(off: np.ndarray) -> np.ndarray:
     """For each corner where the next one of its ring stands."""
     out = np.arange(1, off[-1] + 1)
